@@ -102,11 +102,18 @@ def fbeta_of(tp: Column, fp: Column, fn: Column, beta: float) -> Column:
     return _ratio((F.lit(1.0) + b) * tp, (F.lit(1.0) + b) * tp + b * fn + fp)
 
 
-def fbeta(df: DataFrame, beta: float = 1.0, threshold: float = 0.5, prob: str = "prob", label: str = "label") -> DataFrame:
-    """A16."""
+def _grouped(df: DataFrame, by: str | None, *aggregates: Column) -> DataFrame:
+    return df.groupBy(by).agg(*aggregates) if by else df.agg(*aggregates)
+
+
+def fbeta(
+    df: DataFrame, beta: float = 1.0, threshold: float = 0.5, prob: str = "prob", label: str = "label",
+    by: str | None = None,
+) -> DataFrame:
+    """A16, for the table or per value of ``by`` (fold, model)."""
     hit, real = F.col(prob) >= threshold, F.col(label) == 1
-    return df.agg(
-        F.count_if(hit & real).alias("tp"), F.count_if(hit & ~real).alias("fp"),
+    return _grouped(
+        df, by, F.count_if(hit & real).alias("tp"), F.count_if(hit & ~real).alias("fp"),
         F.count_if(~hit & real).alias("fn"),
     ).withColumn("fbeta", fbeta_of(F.col("tp"), F.col("fp"), F.col("fn"), beta))
 
@@ -180,28 +187,33 @@ def tuned_fbeta(validation: DataFrame, test: DataFrame, beta: float = 1.0, prob:
 
 
 # ---------------------------------------------------------------- ranked metrics
-def _by_score(df: DataFrame, prob: str, label: str, descending: bool) -> DataFrame:
+def _by_score(df: DataFrame, prob: str, label: str, by: str | None, descending: bool, points) -> DataFrame:
     scored = df.filter(F.col(prob).isNotNull() & F.col(label).isNotNull())
     return running_totals(
         scored, prob,
         {"pos": F.count_if(F.col(label) == 1), "neg": F.count_if(F.col(label) == 0)},
-        descending=descending,
+        group=by, points=points, descending=descending,
     )
 
 
-def roc_auc(df: DataFrame, prob: str = "prob", label: str = "label") -> DataFrame:
+def roc_auc(
+    df: DataFrame, prob: str = "prob", label: str = "label", by: str | None = None, points: list[float] | None = None,
+) -> DataFrame:
     """Exact rank statistic with ties counted half; 0.5 when a class is absent."""
     below = F.col("cum_neg") - F.col("neg")
     wins = F.sum(F.col("pos") * (below + F.col("neg") / F.lit(2.0)))
     pairs = F.sum("pos").cast("double") * F.sum("neg")
-    return _by_score(df, prob, label, descending=False).agg(_ratio(wins, pairs, 0.5).alias("roc_auc"))
+    return _grouped(_by_score(df, prob, label, by, False, points), by, _ratio(wins, pairs, 0.5).alias("roc_auc"))
 
 
-def average_precision(df: DataFrame, prob: str = "prob", label: str = "label") -> DataFrame:
+def average_precision(
+    df: DataFrame, prob: str = "prob", label: str = "label", by: str | None = None, points: list[float] | None = None,
+) -> DataFrame:
     """Step-form area under precision-recall; 0 when a class is absent."""
     precision = F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))
     area = F.sum(F.col("pos") * precision) / F.nullif(F.sum("pos").cast("double"), F.lit(0.0))
-    return _by_score(df, prob, label, descending=True).agg(
+    return _grouped(
+        _by_score(df, prob, label, by, True, points), by,
         F.when(F.sum("neg") > 0, F.coalesce(area, F.lit(0.0))).otherwise(F.lit(0.0)).alias("average_precision"))
 
 
