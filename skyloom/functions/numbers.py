@@ -56,10 +56,15 @@ def round_exact(value, digits: int, ties: str = "even") -> Column:
     scale = F.lit(float(10**digits))
     spread = value * F.lit(_SPLITTER)
     high = spread - (spread - value)
-    low = value - high
     floor = F.floor(value * scale).cast("double")
-    over_half = ((high * scale - floor) - F.lit(0.5)) + low * scale
-    odd = (F.abs(floor) % F.lit(2.0)) == F.lit(1.0)
-    tie_up = odd if ties == "even" else F.lit(True)
-    step = F.when((over_half > 0) | ((over_half == 0) & tie_up), F.lit(1.0)).otherwise(F.lit(0.0))
-    return (floor + step) / scale
+    over_half = ((high * scale - floor) - F.lit(0.5)) + (value - high) * scale
+    # -1, 0 or 1; a tie moves up when asked to, or when the lower neighbour is odd
+    step = F.signum(over_half) + (F.lit(1.0) if ties == "up" else F.abs(floor) % F.lit(2.0))
+    return (floor + (step > F.lit(0.0)).cast("double")) / scale
+
+
+def exact_text(value, digits: int, ties: str = "even") -> Column:
+    """Fixed-point text of the binary value of a double, sign always kept."""
+    value = as_column(value).cast("double")
+    sign = F.when(value < 0, "-").otherwise("")
+    return F.concat(sign, F.format_string(f"%.{digits}f", round_exact(F.abs(value), digits, ties)))

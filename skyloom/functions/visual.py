@@ -12,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from skyloom import constants as K
-from skyloom.functions.numbers import as_column, normalize, round_exact, truncate, zero_free
+from skyloom.functions.numbers import as_column, exact_text, normalize, round_exact, truncate, zero_free
 
 
 # ---------------------------------------------------------------- helpers
@@ -39,17 +39,21 @@ def _hsl(h, s, l) -> Column:
 
 # ---------------------------------------------------------------- reading to parameters
 def base_color(norm) -> Column:
-    """Piecewise linear colour, each channel truncated to int."""
+    """Piecewise linear colour, each channel truncated to int.
+
+    Pass a column, not a long expression: it is read once per channel and segment.
+    """
     norm = as_column(norm)
-    position = F.when(norm < 0.25, 0).when(norm < 0.5, 1).when(norm < 0.75, 2).otherwise(3)
-    within = (norm - position * F.lit(0.25)) / F.lit(0.25)
 
-    def channel(i):
-        start = F.element_at(F.array(*[F.lit(float(c[i])) for c in K.RAMP[:-1]]), position + 1)
-        stop = F.element_at(F.array(*[F.lit(float(c[i])) for c in K.RAMP[1:]]), position + 1)
-        return truncate(start + (stop - start) * within)
+    def segment(i):
+        within = (norm - F.lit(i * 0.25)) / F.lit(0.25)
+        pairs = zip(K.RAMP[i], K.RAMP[i + 1])
+        return F.array(*[truncate(F.lit(float(a)) + F.lit(float(b - a)) * within) for a, b in pairs])
 
-    return F.when(norm.isNotNull(), F.array(channel(0), channel(1), channel(2)))
+    return (
+        F.when(norm < 0.25, segment(0)).when(norm < 0.5, segment(1))
+        .when(norm < 0.75, segment(2)).when(norm.isNotNull(), segment(3))
+    )
 
 
 def wind_vector(degrees) -> tuple[Column, Column]:
@@ -74,19 +78,19 @@ def weather_group(code) -> Column:
     return result.when(code == 800, "clear").when(code > 800, "clouds").otherwise("unknown")
 
 
-def norms() -> dict[str, Column]:
+def norms(prefix: str = "") -> dict[str, Column]:
     """P11 for every measured variable of a reading."""
-    return {f"{name}_norm": normalize(name, low, high) for name, (low, high) in K.RANGES.items()}
+    return {f"{prefix}{name}_norm": normalize(name, low, high) for name, (low, high) in K.RANGES.items()}
 
 
-def visual_columns() -> dict[str, Column]:
-    """All encoding parameters of a flat reading."""
-    n = norms()
+def visual_columns(prefix: str = "") -> dict[str, Column]:
+    """All encoding parameters, from the columns of ``norms``."""
     dx, dy = wind_vector("wind_deg")
-    pressure, pm, wet = n["pressure_norm"], n["pm2_5_norm"], n["humidity_norm"]
-    wind, cloud = n["wind_speed_norm"], n["clouds_norm"]
+    pressure, pm, wet, wind, cloud, warm, rain = (
+        F.col(f"{prefix}{v}_norm")
+        for v in ("pressure", "pm2_5", "humidity", "wind_speed", "clouds", "temperature", "rain_1h"))
     return {
-        "base_color": base_color(n["temperature_norm"]),
+        "base_color": base_color(warm),
         "density": F.lit(0.3) + pressure * F.lit(0.7),
         "num_layers": truncate(F.lit(6.0) + pressure * F.lit(14.0)),
         "fragmentation": pm,
@@ -99,8 +103,8 @@ def visual_columns() -> dict[str, Column]:
         "stroke_length": truncate(F.lit(20.0) + wind * F.lit(180.0)),
         "stroke_width": F.greatest(F.lit(1), truncate(wind * F.lit(8.0))),
         "bg_darkness": truncate(F.lit(15.0) + cloud * F.lit(35.0)),
-        "temperature_norm": n["temperature_norm"],
-        "rain_norm": round_exact(n["rain_1h_norm"], 3),
+        "temperature_norm": warm,
+        "rain_norm": round_exact(rain, 3),
         "is_raining": F.col("rain_1h") > 0.0,
         "weather_group": weather_group("weather_id"),
     }
@@ -339,9 +343,7 @@ def humidity_shape(humidity_norm, dominant, second) -> Column:
 # ---------------------------------------------------------------- text
 def fixed_text(value, digits: int) -> Column:
     """Fixed-point text of a double, ties away from zero on the binary value, sign always kept."""
-    value = as_column(value).cast("double")
-    sign = F.when(value < 0, "-").otherwise("")
-    return F.concat(sign, F.format_string(f"%.{digits}f", round_exact(F.abs(value), digits, ties="up")))
+    return exact_text(value, digits, ties="up")
 
 
 def display_line() -> Column:

@@ -15,7 +15,9 @@ READING_DEFAULTS = {"rain_1h": 0.0, "weather_id": K.DEFAULT_WEATHER_ID, "clouds"
 
 def visual_params(df: DataFrame) -> DataFrame:
     """Adds the encoding parameters, with optional inputs defaulted."""
-    return with_defaults(df, READING_DEFAULTS).withColumns(V.visual_columns())
+    scaled = V.norms(prefix="_")
+    # two projections: each norm is computed once and the generated code stays small enough to compile well
+    return with_defaults(df, READING_DEFAULTS).withColumns(scaled).withColumns(V.visual_columns("_")).drop(*scaled)
 
 
 def visual_record(df: DataFrame, raw: list[str] | None = None) -> DataFrame:

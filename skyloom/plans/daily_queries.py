@@ -31,10 +31,10 @@ _BOXES = [(1, 4.0, 0.0, 1.0, 2.0), (2, 7.0, 2.0, 3.0, 4.0)]
 @query("a1_grid_mean", f"""WITH {B.GRID}, boxed AS (
   SELECT 1 AS site_id, * FROM grid WHERE latitude BETWEEN 1 AND 4 AND longitude BETWEEN 0 AND 2
   UNION ALL SELECT 2 AS site_id, * FROM grid WHERE latitude BETWEEN 3 AND 7 AND longitude BETWEEN 2 AND 4)
-SELECT site_id, valid_time, {', '.join(f'round(avg({c}), 9) + 0e0 AS {c}' for c in ('t2m', 'sp', 'u10', 'tcc', 'tp'))}
+SELECT site_id, valid_time, {', '.join(f'round(avg({c}), {9 if c == "tcc" else 6}) + 0e0 AS {c}' for c in ('t2m', 'sp', 'u10', 'tcc', 'tp'))}
 FROM boxed GROUP BY 1, 2""")
 def a1_grid_mean(spark, sf):
-    return rounded(series.grid_mean(B.grid(spark, sf), _BOXES), 9)
+    return rounded(series.grid_mean(B.grid(spark, sf), _BOXES), tcc=9)
 
 
 @query("p1_rename", f"""WITH {B.GRID} SELECT valid_time AS ts, CAST(count(*) AS BIGINT) AS cells, round(avg(t2m), 6) AS temp_k,

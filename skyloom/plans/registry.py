@@ -26,10 +26,10 @@ def query(name: str, oracle: str | None = None):
     return keep
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every double column for comparison across engines."""
+def rounded(df: DataFrame, digits: int = 6, **finer: int) -> DataFrame:
+    """Round every double column for comparison across engines; ``finer`` sets digits per column."""
     return df.select(*[
-        zero_free(F.round(F.col(f"`{f.name}`"), digits)).alias(f.name)
+        zero_free(F.round(F.col(f"`{f.name}`"), finer.get(f.name, digits))).alias(f.name)
         if isinstance(f.dataType, T.DoubleType) else F.col(f"`{f.name}`")
         for f in df.schema.fields
     ])

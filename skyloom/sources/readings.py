@@ -63,11 +63,14 @@ def flatten_readings(weather: DataFrame, air: DataFrame, keep: tuple[str, ...] =
     broadcasts it when it is small, and otherwise splits a coordinate pair that holds a large part
     of the readings over several tasks (adaptive skew join).
     """
-    flat = weather.select(*keep, *[c.alias(n) for n, c in weather_columns().items()])
+    # The key is a struct: an inner join on plain lat and lon would push null checks below the parse
+    # and so parse every document once more per check.
+    at = F.struct("lat", "lon").alias("_at")
+    flat = weather.select(*keep, *[c.alias(n) for n, c in weather_columns().items()]).select("*", at)
     clean = air.select(
         F.col("air_doc.coord.lat").alias("lat"), F.col("air_doc.coord.lon").alias("lon"),
-        *[c.alias(n) for n, c in air_columns().items()])
-    return flat.join(clean, ["lat", "lon"], "inner")
+        *[c.alias(n) for n, c in air_columns().items()]).dropna(subset=["lat", "lon"])
+    return flat.join(clean.select(at, *air_columns()), "_at", "inner").drop("_at")
 
 
 def sample_reading(spark: SparkSession) -> DataFrame:
