@@ -9,6 +9,7 @@ from skyloom import constants as K
 from skyloom.functions import physics
 from skyloom.functions.calendar import minute_bucket
 from skyloom.functions.numbers import clip, finite
+from skyloom.session import durable
 
 
 def rename_grid(df: DataFrame, mapping: dict[str, str] | None = None) -> DataFrame:
@@ -68,38 +69,62 @@ def to_physical(df: DataFrame, clip_on: str = "result") -> DataFrame:
     return df.withColumns(cleaned)
 
 
+# A slot of up to this many rows is sorted in one task; beyond it the series is cut by rank instead.
+SLOT_ROWS = 20_000_000
+# Inputs estimated below this size cannot hold a larger slot, so they are not counted first.
+SMALL_BYTES = 1 << 30
+
+
+def _slots_fit(slotted: DataFrame, site: str) -> bool:
+    """Whether every (site, slot) is small enough for one task, by file statistics or by counting."""
+    if int(str(slotted._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= SMALL_BYTES:
+        return True
+    largest = slotted.groupBy(site, "_cut").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    return (largest or 0) <= SLOT_ROWS
+
+
+def _cut_by_rank(df: DataFrame, order: list[str]) -> DataFrame:
+    """Consecutive ranges of equal size along ``order``, numbered by ``_cut``.
+
+    Range partitioning samples the keys, so a hot site, day or instant is spread over as many ranges
+    as it needs. The numbered rows are written once: both later readers must see the same cuts.
+    """
+    return durable(df.repartitionByRange(*order).withColumn("_cut", F.spark_partition_id()), "ranges")
+
+
 def previous_value(
     df: DataFrame, value: str, name: str, site: str = "site_id", ts: str = "ts",
-    tie: str | None = "event_id", bucket_minutes: int = 1,
+    tie: str | None = "event_id", bucket_minutes: int = 1, by: str = "auto",
 ) -> DataFrame:
     """The value one row earlier in the site's series, safe for a site with a third of all rows.
 
     A plain ``lag`` over the site would sort a hot site's whole history in one task. The series is
-    cut into time slots instead: ``lag`` runs inside (site, slot), and the last value of each
-    non-empty slot is carried to the first row of the next one. The carry table has one row per
-    site and slot, a number bounded by the calendar. Widen ``bucket_minutes`` for sparse series.
+    cut into pieces instead: ``lag`` runs inside (site, piece), and the last value of each piece is
+    carried to the first row of the site's next one. ``by``: ``slot`` cuts by time, ``bucket_minutes``
+    per piece; ``range`` cuts into equal ranges of the (site, time) order, for data where even one
+    slot is too large; ``auto`` takes slots if they fit. Either way a site has few pieces: at most
+    one per time slot of the calendar, or one per range.
     """
     order = [ts] + ([tie] if tie else [])
-    slotted = df.withColumn("_slot", minute_bucket(df, ts, bucket_minutes))
-    inside = Window.partitionBy(site, "_slot").orderBy(*order)
-    entry = F.struct(F.col(value).alias("v"))
-    local = slotted.withColumns({
-        "_lag": F.lag(entry, 1).over(inside),
-    })
-    ends = slotted.groupBy(site, "_slot").agg(F.max_by(F.col(value), F.struct(*order)).alias("_end"))
-    carried = ends.withColumn("_carry", F.lag("_end", 1).over(Window.partitionBy(site).orderBy("_slot"))).drop("_end")
-    joined = local.join(carried, [site, "_slot"], "left")
-    return joined.withColumn(
+    cut = df.withColumn("_cut", minute_bucket(df, ts, bucket_minutes))
+    if by == "range" or (by == "auto" and not _slots_fit(cut, site)):
+        cut = _cut_by_rank(df, [site, *order])
+    inside = Window.partitionBy(site, "_cut").orderBy(*order)
+    local = cut.withColumn("_lag", F.lag(F.struct(F.col(value).alias("v")), 1).over(inside))
+    ends = cut.groupBy(site, "_cut").agg(F.max_by(F.col(value), F.struct(*order)).alias("_end"))
+    carried = ends.select(
+        site, "_cut", F.lag("_end", 1).over(Window.partitionBy(site).orderBy("_cut")).alias("_carry"))
+    return local.join(carried, [site, "_cut"], "left").withColumn(
         name, F.when(F.col("_lag").isNotNull(), F.col("_lag.v")).otherwise(F.col("_carry"))
-    ).drop("_slot", "_lag", "_carry")
+    ).drop("_cut", "_lag", "_carry")
 
 
 def deaccumulate(
     df: DataFrame, col: str = "precip_m", name: str = "precip_mm", scale: float = K.MM_PER_METRE,
-    site: str = "site_id", ts: str = "ts", tie: str | None = "event_id", bucket_minutes: int = 1,
+    site: str = "site_id", ts: str = "ts", tie: str | None = "event_id", bucket_minutes: int = 1, by: str = "auto",
 ) -> DataFrame:
     """Positive part of the step of an accumulated series; the first row of a site is NULL."""
-    stepped = previous_value(df, col, "_before", site, ts, tie, bucket_minutes)
+    stepped = previous_value(df, col, "_before", site, ts, tie, bucket_minutes, by)
     return stepped.withColumn(
         name, finite(clip(F.col(col) - F.col("_before"), low=0.0) * F.lit(scale))
     ).drop("_before")

@@ -51,7 +51,7 @@ def read_payload(df: DataFrame, name: str = "payload") -> DataFrame:
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Whole pages as ``html`` with their file name."""
-    return spark.read.option("wholetext", True).text(path).select(
+    return spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_name").alias("page"), F.col("value").alias("html"))
 
 
