@@ -105,6 +105,64 @@ RANGES = {
 # --- Fixed values: colour ramp, five stops at 0, 1/4, 1/2, 3/4, 1 --------------------
 RAMP = ((28, 58, 110), (45, 85, 140), (90, 70, 50), (160, 90, 30), (190, 110, 20))
 
+# --- Fixed values: encoding formulas, (base, slope) of a normalised value ------------
+DENSITY = (0.3, 0.7)
+LAYERS = (6.0, 14.0)
+FRAGMENTS = (2.0, 40.0)
+OPACITY = (160.0, 80.0)
+VEIL = 80.0
+STROKE_LENGTH = (20.0, 180.0)
+STROKE_WIDTH = 8.0
+DARKNESS = (15.0, 35.0)
+CODOMINANT_BOOST = 1.4
+# share of the dominant tint in hue, saturation and lightness
+TINT_MIX = 0.35
+TINT_SATURATION = 0.3
+TINT_LIGHTNESS = 0.2
+# wind strokes: hue, then (base, slope, bound) of lightness and (base, slope) of saturation
+WIND_HUE = 220
+WIND_GROUND_LIGHT = 65.0
+WIND_ON_LIGHT = ((42.0, 28.0, 18.0), (70.0, 25.0))
+WIND_ON_DARK = ((62.0, 28.0, 78.0), (45.0, 40.0))
+# global modifiers by dominant variable
+WIND_ANGLE = 0.7
+TEMPERATURE_SCALE = (0.85, 0.35)
+WIND_SCALE = (0.9, 0.2)
+HUMIDITY_BLUR = 4.0
+CLOUD_SQUISH = 0.3
+WIND_LIGHT_REACH = 0.4
+RISK_EDGES = 22.0
+RISK_FRACTURES = 14.0
+RISK_DEPTH = 90.0
+
+# --- Fixed values: bounds of the behaviour bands -------------------------------------
+HUMIDITY_BANDS = (0.35, 0.65)
+HUMIDITY_HALO = (0.5, 0.55)
+WIND_BANDS = (0.2, 0.5)
+WIND_BANDS_DOMINANT = (0.3, 0.6)
+PRESSURE_BANDS = (0.4, 0.65)
+PRESSURE_DOMINANT = 0.5
+CLOUD_BANDS = (0.2, 0.55)
+PM_BANDS = (0.15, 0.4)
+
+# --- Fixed values: guesses of a day from one reading ---------------------------------
+POINT_TEMP_ABOVE = 3.0
+POINT_TEMP_BELOW = 5.0
+POINT_WIND_GUST = 1.5
+POINT_HUMIDITY_ABOVE = 10.0
+POINT_PRESSURE_BELOW = 2.0
+POINT_RAIN_MM = 5.0
+
+# --- Fixed values: status texts ------------------------------------------------------
+STATUS_READINGS = "/{expected} lecturas hoy"
+STATUS_EMPTY = "sin días aún ("
+STATUS_DAYS = " días ("
+STATUS_JOIN = ") — "
+STATUS_MISSING = "faltan "
+STATUS_ROLLING = " para rolling real"
+STATUS_LAGS = " para lags completos"
+STATUS_COMPLETE = "predicción completa ✓"
+
 # --- Fixed values: labels ------------------------------------------------------------
 COMPASS = ("N", "NNE", "NE", "ENE", "E", "ESE", "SE", "SSE",
            "S", "SSO", "SO", "OSO", "O", "ONO", "NO", "NNO")

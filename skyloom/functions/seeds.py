@@ -16,19 +16,20 @@ def _wrap_int32(value: Column) -> Column:
     return F.pmod(value + F.lit(_TWO_31), F.lit(_TWO_32)) - F.lit(_TWO_31)
 
 
-def _utf16_units(text: Column) -> Column:
-    """Code units of a text; characters beyond the basic plane become surrogate pairs."""
-
-    def units(char):
-        code = F.ascii(char)
-        above = code - F.lit(0x10000)
-        pair = F.array(
-            F.lit(0xD800) + F.shiftright(above, 10), F.lit(0xDC00) + above.bitwiseAND(F.lit(0x3FF))
-        )
-        return F.when(code > F.lit(0xFFFF), pair).otherwise(F.array(code))
-
-    chars = F.filter(F.split(text, ""), lambda c: c != F.lit(""))
-    return F.flatten(F.transform(chars, units))
+def _mix(total: Column, unit: Column) -> Column:
+    return _wrap_int32(total * F.lit(31) + unit.cast("long"))
+
+
+def _mix_character(total: Column, char: Column) -> Column:
+    """Fold one character in as its UTF-16 code units: one, or a surrogate pair."""
+    code = F.ascii(char)
+    above = code - F.lit(0x10000)
+    high, low = F.lit(0xD800) + F.shiftright(above, 10), F.lit(0xDC00) + above.bitwiseAND(F.lit(0x3FF))
+    return (
+        F.when(char == F.lit(""), total)
+        .when(code <= F.lit(0xFFFF), _mix(total, code))
+        .otherwise(_mix(_mix(total, high), low))
+    )
 
 
 def seed(date, hour, city) -> Column:
@@ -36,10 +37,7 @@ def seed(date, hour, city) -> Column:
     key = F.concat(
         F.date_format(as_column(date), "yyyyMMdd"), as_column(hour).cast("string"), as_column(city)
     )
-    hashed = F.aggregate(
-        _utf16_units(key), F.lit(0).cast("long"),
-        lambda total, unit: _wrap_int32(total * F.lit(31) + unit.cast("long")),
-    )
+    hashed = F.aggregate(F.split(key, ""), F.lit(0).cast("long"), _mix_character)
     return F.when(hashed == 0, F.lit(K.DEFAULT_SEED).cast("long")).otherwise(F.abs(hashed))
 
 

@@ -32,6 +32,11 @@ def _bands(value: Column, bands, last: Column, make, closed: bool) -> Column:
     return result.otherwise(last)
 
 
+def _linear(coefficients, value: Column) -> Column:
+    base, slope = coefficients
+    return F.lit(base) + value * F.lit(slope)
+
+
 def _hsl(h, s, l) -> Column:
     columns = [x if isinstance(x, Column) else F.lit(float(x)) for x in (h, s, l)]
     return F.struct(*[c.cast("double").alias(n) for c, n in zip(columns, ("h", "s", "l"))])
@@ -91,18 +96,18 @@ def visual_columns(prefix: str = "") -> dict[str, Column]:
         for v in ("pressure", "pm2_5", "humidity", "wind_speed", "clouds", "temperature", "rain_1h"))
     return {
         "base_color": base_color(warm),
-        "density": F.lit(0.3) + pressure * F.lit(0.7),
-        "num_layers": truncate(F.lit(6.0) + pressure * F.lit(14.0)),
+        "density": _linear(K.DENSITY, pressure),
+        "num_layers": truncate(_linear(K.LAYERS, pressure)),
         "fragmentation": pm,
-        "fragment_count": truncate(F.lit(2.0) + pm * F.lit(40.0)),
-        "opacity_base": truncate(F.lit(160.0) + (F.lit(1.0) - wet) * F.lit(80.0)),
-        "veil_opacity": truncate(wet * F.lit(80.0)),
+        "fragment_count": truncate(_linear(K.FRAGMENTS, pm)),
+        "opacity_base": truncate(_linear(K.OPACITY, F.lit(1.0) - wet)),
+        "veil_opacity": truncate(wet * F.lit(K.VEIL)),
         "wind_dx": dx,
         "wind_dy": dy,
         "wind_energy": wind,
-        "stroke_length": truncate(F.lit(20.0) + wind * F.lit(180.0)),
-        "stroke_width": F.greatest(F.lit(1), truncate(wind * F.lit(8.0))),
-        "bg_darkness": truncate(F.lit(15.0) + cloud * F.lit(35.0)),
+        "stroke_length": truncate(_linear(K.STROKE_LENGTH, wind)),
+        "stroke_width": F.greatest(F.lit(1), truncate(wind * F.lit(K.STROKE_WIDTH))),
+        "bg_darkness": truncate(_linear(K.DARKNESS, cloud)),
         "temperature_norm": warm,
         "rain_norm": round_exact(rain, 3),
         "is_raining": F.col("rain_1h") > 0.0,
@@ -116,7 +121,7 @@ def dominance_scores(rounded: bool = False) -> list[Column]:
     scores = [
         F.col("temperature_norm"),
         F.col("wind_energy"),
-        F.col("veil_opacity") / F.lit(80.0),
+        F.col("veil_opacity") / F.lit(K.VEIL),
         F.col("density"),
         F.col("clouds") / F.lit(100.0),
         F.col("fragmentation"),
@@ -146,7 +151,7 @@ def codominant(dominant, second) -> Column:
 
 def codominant_boost(strength) -> Column:
     """K5: display strength of the co-dominant variable."""
-    return F.least(F.lit(1.0), as_column(strength) * F.lit(1.4))
+    return F.least(F.lit(1.0), as_column(strength) * F.lit(K.CODOMINANT_BOOST))
 
 
 # ---------------------------------------------------------------- colours
@@ -172,7 +177,9 @@ def light_position(hour, dominant=None, dx=None, dy=None) -> Column:
     if dominant is None:
         return by_hour
     angle = F.atan2(as_column(dy), as_column(dx))
-    downwind = F.struct((F.lit(0.5) + F.cos(angle) * 0.4).alias("x"), (F.lit(0.5) + F.sin(angle) * 0.4).alias("y"))
+    downwind = F.struct(
+        (F.lit(0.5) + F.cos(angle) * K.WIND_LIGHT_REACH).alias("x"),
+        (F.lit(0.5) + F.sin(angle) * K.WIND_LIGHT_REACH).alias("y"))
     return F.when(as_column(dominant) == "viento", downwind).otherwise(by_hour)
 
 
@@ -184,12 +191,12 @@ def dominant_tint(dominant) -> Column:
 def palette(hour, dominant, strength) -> Column:
     """Hour colour mixed with the tint of the dominant variable."""
     ground, tint = hour_hsl(hour), dominant_tint(dominant)
-    mix = as_column(strength) * F.lit(0.35)
+    mix = as_column(strength) * F.lit(K.TINT_MIX)
     keep = F.lit(1.0) - mix
     return F.struct(
         (ground["h"] * keep + tint["h"] * mix).alias("h"),
-        (ground["s"] * keep + tint["s"] * mix * F.lit(0.3)).alias("s"),
-        (ground["l"] * keep + tint["l"] * mix * F.lit(0.2)).alias("l"),
+        (ground["s"] * keep + tint["s"] * mix * F.lit(K.TINT_SATURATION)).alias("s"),
+        (ground["l"] * keep + tint["l"] * mix * F.lit(K.TINT_LIGHTNESS)).alias("l"),
     )
 
 
@@ -202,11 +209,16 @@ def variable_colour(variable: str, norm) -> Column:
 
 def wind_colour(energy, background_l) -> Column:
     """Wind strokes are darker on a light ground and lighter on a dark one."""
-    energy, light = as_column(energy), as_column(background_l) > 65
-    lightness = F.when(light, F.greatest(F.lit(18.0), F.lit(42.0) - energy * 28.0)).otherwise(
-        F.least(F.lit(78.0), F.lit(62.0) - energy * 28.0))
-    saturation = F.when(light, F.lit(70.0) + energy * 25.0).otherwise(F.lit(45.0) + energy * 40.0)
-    return _hsl(220, saturation, lightness)
+    energy, light = as_column(energy), as_column(background_l) > K.WIND_GROUND_LIGHT
+    (dark_base, dark_slope, dark_floor), dark_saturation = K.WIND_ON_LIGHT
+    (pale_base, pale_slope, pale_ceiling), pale_saturation = K.WIND_ON_DARK
+    darker = F.greatest(F.lit(dark_floor), _linear((dark_base, -dark_slope), energy))
+    paler = F.least(F.lit(pale_ceiling), _linear((pale_base, -pale_slope), energy))
+    return _hsl(
+        K.WIND_HUE,
+        F.when(light, _linear(dark_saturation, energy)).otherwise(_linear(pale_saturation, energy)),
+        F.when(light, darker).otherwise(paler),
+    )
 
 
 def modifiers(dominant, strength, dx, dy) -> Column:
@@ -217,12 +229,12 @@ def modifiers(dominant, strength, dx, dy) -> Column:
         return F.when(dominant == name, value).otherwise(F.lit(other))
 
     return F.struct(
-        only("viento", F.atan2(as_column(dy), as_column(dx)) * 0.7, 0.0).alias("angle"),
-        F.when(dominant == "temperatura", F.lit(0.85) + strength * 0.35)
-        .when(dominant == "viento", F.lit(0.9) + strength * 0.2).otherwise(F.lit(1.0)).alias("scale"),
-        only("humedad", strength * 4.0, 0.0).alias("blur"),
+        only("viento", F.atan2(as_column(dy), as_column(dx)) * K.WIND_ANGLE, 0.0).alias("angle"),
+        F.when(dominant == "temperatura", _linear(K.TEMPERATURE_SCALE, strength))
+        .when(dominant == "viento", _linear(K.WIND_SCALE, strength)).otherwise(F.lit(1.0)).alias("scale"),
+        only("humedad", strength * K.HUMIDITY_BLUR, 0.0).alias("blur"),
         only("pm25", strength, 0.0).alias("noise"),
-        only("nubes", F.lit(1.0) - strength * 0.3, 1.0).alias("squish"),
+        only("nubes", F.lit(1.0) - strength * K.CLOUD_SQUISH, 1.0).alias("squish"),
         only("presion", strength, 0.0).alias("rigid"),
     )
 
@@ -280,7 +292,8 @@ def risk_counts(risk) -> Column:
     """Edge marks, fractures and the depth of the edge band."""
     risk = as_column(risk)
     return F.struct(
-        F.floor(risk * 22.0).alias("edges"), F.floor(risk * 14.0).alias("fractures"), (risk * 90.0).alias("depth"),
+        F.floor(risk * K.RISK_EDGES).alias("edges"), F.floor(risk * K.RISK_FRACTURES).alias("fractures"),
+        (risk * K.RISK_DEPTH).alias("depth"),
     )
 
 
@@ -290,10 +303,10 @@ def event_hsl(event) -> Column:
     return F.coalesce(F.try_element_at(table, as_column(event)), _hsl(*K.EVENT_HSL_DEFAULT))
 
 
-def _steps(value, *steps) -> Column:
-    """Code by upper bounds: ``_steps(v, (0.3, 'low'), 'high')``."""
-    result = F.lit(steps[-1])
-    for bound, code in reversed(steps[:-1]):
+def _steps(value, bounds, codes) -> Column:
+    """The code of the first bound above the value, else the last code."""
+    result = F.lit(codes[-1])
+    for bound, code in reversed(list(zip(bounds, codes))):
         result = F.when(as_column(value) < F.lit(bound), F.lit(code)).otherwise(result)
     return result
 
@@ -301,43 +314,38 @@ def _steps(value, *steps) -> Column:
 def behaviour_bands(dominant, second) -> dict[str, Column]:
     """Behaviour code of each variable, with dominant and co-dominant variants."""
     dominant, second = as_column(dominant), as_column(second)
-    hum, wind, pres = F.col("veil_opacity") / F.lit(80.0), F.col("wind_energy"), F.col("density")
+    hum, wind, pres = F.col("veil_opacity") / F.lit(K.VEIL), F.col("wind_energy"), F.col("density")
     cloud, pm = F.col("clouds") / F.lit(100.0), F.col("fragmentation")
 
     def pick(name, leading, seconding, plain):
         chosen = F.when(dominant == name, leading)
         return (chosen.when(second == name, seconding) if seconding is not None else chosen).otherwise(plain)
 
+    def over(value, bound, yes, no):
+        return F.when(value > bound, yes).otherwise(no)
+
+    led, followed = F.lit("dominant"), F.lit("codominant")
     return {
         "humidity_band": pick(
-            "humedad",
-            F.when(hum > 0.5, "dominant_halo").otherwise("dominant"),
-            F.when(hum > 0.55, "codominant_halo").otherwise("codominant"),
-            _steps(hum, (0.35, "low"), (0.65, "medium"), "high")),
+            "humedad", over(hum, K.HUMIDITY_HALO[0], "dominant_halo", "dominant"),
+            over(hum, K.HUMIDITY_HALO[1], "codominant_halo", "codominant"),
+            _steps(hum, K.HUMIDITY_BANDS, ("low", "medium", "high"))),
         "wind_band": pick(
-            "viento",
-            _steps(wind, (0.3, "dominant_short"), (0.6, "dominant_medium"), "dominant_long"),
-            F.lit("codominant"),
-            _steps(wind, (0.2, "calm"), (0.5, "moderate"), "strong")),
+            "viento", _steps(wind, K.WIND_BANDS_DOMINANT, ("dominant_short", "dominant_medium", "dominant_long")),
+            followed, _steps(wind, K.WIND_BANDS, ("calm", "moderate", "strong"))),
         "pressure_band": pick(
-            "presion",
-            F.when(pres > 0.5, "dominant_bands").otherwise("dominant_fragments"),
-            None,
-            _steps(pres, (0.4, "low"), (0.65, "normal"), "high")),
-        "temperature_band": pick("temperatura", F.lit("dominant"), F.lit("codominant"), F.lit("base")),
-        "cloud_band": pick(
-            "nubes", F.lit("dominant"), F.lit("codominant"),
-            _steps(cloud, (0.2, "few"), (0.55, "medium"), "many")),
-        "pm_band": pick(
-            "pm25", F.lit("dominant"), F.lit("codominant"),
-            _steps(pm, (0.15, "clean"), (0.4, "moderate"), "high")),
+            "presion", over(pres, K.PRESSURE_DOMINANT, "dominant_bands", "dominant_fragments"), None,
+            _steps(pres, K.PRESSURE_BANDS, ("low", "normal", "high"))),
+        "temperature_band": pick("temperatura", led, followed, F.lit("base")),
+        "cloud_band": pick("nubes", led, followed, _steps(cloud, K.CLOUD_BANDS, ("few", "medium", "many"))),
+        "pm_band": pick("pm25", led, followed, _steps(pm, K.PM_BANDS, ("clean", "moderate", "high"))),
     }
 
 
 def humidity_shape(humidity_norm, dominant, second) -> Column:
     """Dry air that neither dominates nor co-dominates is drawn with triangles."""
     plain = (as_column(dominant) != "humedad") & (F.coalesce(as_column(second), F.lit("")) != "humedad")
-    return F.when((as_column(humidity_norm) < 0.35) & plain, "triangle").otherwise("oval")
+    return F.when((as_column(humidity_norm) < K.HUMIDITY_BANDS[0]) & plain, "triangle").otherwise("oval")
 
 
 # ---------------------------------------------------------------- text

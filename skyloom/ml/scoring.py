@@ -24,11 +24,11 @@ def point_estimate(df: DataFrame, date: str = "date", keep: tuple[str, ...] = ("
     hum, clouds = given["humidity"], given["clouds"]
     sin, cos = season(date, K.YEAR_DAYS_FOREST)
     daily = {
-        "temp_c_max": temp + 3.0, "temp_c_min": temp - 5.0, "temp_c_mean": temp,
-        "pressure_hpa_mean": pres, "pressure_hpa_min": pres - 2.0,
-        "wind_speed_max": wind * 1.5, "wind_speed_mean": wind,
-        "humidity_max": F.least(F.lit(100.0), hum + 10.0), "humidity_mean": hum,
-        "precip_mm_sum": F.when(clouds > K.RULE_CLOUD_PCT, F.lit(5.0)).otherwise(F.lit(0.0)),
+        "temp_c_max": temp + K.POINT_TEMP_ABOVE, "temp_c_min": temp - K.POINT_TEMP_BELOW, "temp_c_mean": temp,
+        "pressure_hpa_mean": pres, "pressure_hpa_min": pres - K.POINT_PRESSURE_BELOW,
+        "wind_speed_max": wind * K.POINT_WIND_GUST, "wind_speed_mean": wind,
+        "humidity_max": F.least(F.lit(100.0), hum + K.POINT_HUMIDITY_ABOVE), "humidity_mean": hum,
+        "precip_mm_sum": F.when(clouds > K.RULE_CLOUD_PCT, F.lit(K.POINT_RAIN_MM)).otherwise(F.lit(0.0)),
         "cloud_cover_mean": clouds / 100.0,
     }
     made = dict(daily)

@@ -108,18 +108,19 @@ def readiness(days: str):
 
 def status_text(days: str = "days", today: str = "readings_today"):
     """The readable status line."""
-    n = F.col(days).cast("string")
-    readings = F.concat(F.col(today).cast("string"), F.lit(f"/{K.READINGS_PER_DAY} lecturas hoy"))
-    lead = F.concat(n, F.lit(" días ("), readings, F.lit(") — "))
+    n = F.col(days)
+    readings = F.concat(F.col(today).cast("string"), F.lit(K.STATUS_READINGS.format(expected=K.READINGS_PER_DAY)))
+    lead = F.concat(n.cast("string"), F.lit(K.STATUS_DAYS), readings, F.lit(K.STATUS_JOIN))
 
-    def missing(limit):
-        return (F.lit(limit) - F.col(days)).cast("string")
+    def missing(limit, purpose):
+        left = (F.lit(limit) - n).cast("string")
+        return F.concat(lead, F.lit(K.STATUS_MISSING), left, F.lit(purpose))
 
     return (
-        F.when(F.col(days) == 0, F.concat(F.lit("sin días aún ("), readings, F.lit(")")))
-        .when(F.col(days) < K.MIN_DAYS_ROLLING, F.concat(lead, F.lit("faltan "), missing(K.MIN_DAYS_ROLLING), F.lit(" para rolling real")))
-        .when(F.col(days) < K.MIN_DAYS_FULL, F.concat(lead, F.lit("faltan "), missing(K.MIN_DAYS_FULL), F.lit(" para lags completos")))
-        .otherwise(F.concat(lead, F.lit("predicción completa ✓")))
+        F.when(n == 0, F.concat(F.lit(K.STATUS_EMPTY), readings, F.lit(")")))
+        .when(n < K.MIN_DAYS_ROLLING, missing(K.MIN_DAYS_ROLLING, K.STATUS_ROLLING))
+        .when(n < K.MIN_DAYS_FULL, missing(K.MIN_DAYS_FULL, K.STATUS_LAGS))
+        .otherwise(F.concat(lead, F.lit(K.STATUS_COMPLETE)))
     )
 
 

@@ -72,7 +72,7 @@ def archive_columns() -> dict[str, Column]:
         "temp_norm": round_exact("temperature_norm", 3),
         "pressure_norm": round_exact("density", 3),
         "wind_energy": round_exact("wind_energy", 3),
-        "humidity_norm": round_exact(F.col("veil_opacity") / F.lit(80.0), 3),
+        "humidity_norm": round_exact(F.col("veil_opacity") / F.lit(K.VEIL), 3),
         "cloud_norm": round_exact(F.coalesce(F.col("clouds"), F.lit(0)) / F.lit(100.0), 3),
         "pm_norm": round_exact("fragmentation", 3),
         "dominant": F.coalesce(F.col("dominant"), F.lit(K.VARIABLES[0])),

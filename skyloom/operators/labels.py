@@ -42,8 +42,8 @@ def event_type(rules: str = "reading") -> Column:
     if rules == "reading":
         given = {c: F.coalesce(F.col(c).cast("double"), F.lit(d)) for c, d in K.POINT_DEFAULTS.items()}
         return _rules(
-            given["temperature"] + 3.0, given["temperature"] - 5.0, given["wind_speed"] * 1.5,
-            K.RULE_WIND_READING_MS, given["clouds"], given["humidity"],
+            given["temperature"] + K.POINT_TEMP_ABOVE, given["temperature"] - K.POINT_TEMP_BELOW,
+            given["wind_speed"] * K.POINT_WIND_GUST, K.RULE_WIND_READING_MS, given["clouds"], given["humidity"],
         )
     if rules == "history":
         return _rules(

@@ -26,22 +26,34 @@ def merge_grid(instant: DataFrame, accum: DataFrame) -> DataFrame:
     return instant.join(accum, ["valid_time", "latitude", "longitude"], "inner")
 
 
-def grid_mean(df: DataFrame, sites: list[tuple] | None = None, time: str = "valid_time") -> DataFrame:
-    """A1: spatial mean per time step, optionally per site box.
+def box_cells(cells: DataFrame, sites: list[tuple]) -> DataFrame:
+    """``site_id, latitude, longitude`` of the grid cells in each box ``(site_id, north, west, south, east)``.
 
-    ``sites`` lists ``(site_id, north, west, south, east)``; a cell in several boxes counts in each.
-    Partial aggregation runs before the shuffle, so a box with many cells is no hot key.
+    A cell in several boxes belongs to each of them.
     """
-    values = [c for c in df.columns if c not in (time, "latitude", "longitude")]
-    means = [F.avg(c).alias(c) for c in values]
-    if not sites:
-        return df.groupBy(time).agg(*means)
     inside = [
         F.when(F.col("latitude").between(south, north) & F.col("longitude").between(west, east), F.lit(site))
         for site, north, west, south, east in sites
     ]
-    placed = df.withColumn("site_id", F.explode(F.array_compact(F.array(*inside))))
-    return placed.groupBy("site_id", time).agg(*means)
+    return cells.select("latitude", "longitude").distinct().select(
+        F.explode(F.array_compact(F.array(*inside))).alias("site_id"), "latitude", "longitude")
+
+
+def grid_mean(
+    df: DataFrame, sites: list[tuple] | None = None, cells: DataFrame | None = None, time: str = "valid_time",
+) -> DataFrame:
+    """A1: spatial mean per time step, optionally per site.
+
+    ``cells`` says which cells make up a site (see ``box_cells``); ``sites`` are boxes. Membership
+    is worked out once per cell, not per row and box. Partial aggregation runs before the shuffle,
+    so a site with many cells is no hot key.
+    """
+    means = [F.avg(c).alias(c) for c in df.columns if c not in (time, "latitude", "longitude")]
+    if cells is None and not sites:
+        return df.groupBy(time).agg(*means)
+    if cells is None:
+        cells = box_cells(df, sites)
+    return df.join(cells, ["latitude", "longitude"]).groupBy("site_id", time).agg(*means)
 
 
 def drop_untimed(df: DataFrame, ts: str = "ts") -> DataFrame:

@@ -370,7 +370,7 @@ SELECT event_id, round(35 + hum * 50, 6) AS humidity_s, round(55 - hum * 25, 6)
 def x15_variable_colours(spark, sf):
     df = flows.encoded(B.obs(spark, sf)).withColumn("ground", V.palette("hour", "dominant", "dominant_strength"))
     made = {
-        "humidity": V.variable_colour("humidity", F.col("veil_opacity") / 80.0),
+        "humidity": V.variable_colour("humidity", F.col("veil_opacity") / K.VEIL),
         "pressure": V.variable_colour("pressure", "density"),
         "cloud": V.variable_colour("cloud", F.col("clouds") / 100.0),
         "pm": V.variable_colour("pm", "fragmentation"), "rain": V.variable_colour("rain", "rain_norm"),
@@ -460,7 +460,7 @@ def x22_bands(spark, sf):
     """Also X30 (``shape``)."""
     df = flows.encoded(B.obs(spark, sf))
     bands = V.behaviour_bands("dominant", "dominant2")
-    shape = V.humidity_shape(F.col("veil_opacity") / 80.0, "dominant", "dominant2")
+    shape = V.humidity_shape(F.col("veil_opacity") / K.VEIL, "dominant", "dominant2")
     return df.select("event_id", *[c.alias(n) for n, c in bands.items()], shape.alias("shape"))
 
 

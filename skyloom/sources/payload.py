@@ -25,7 +25,7 @@ def payload_columns() -> dict[str, Column]:
         "clouds": F.coalesce(F.col("clouds"), F.lit(K.DEFAULT_CLOUDS)),
         "temp_norm": round_exact("temperature_norm", 3), "pressure_norm": round_exact("density", 3),
         "wind_energy": round_exact("wind_energy", 3), "pm_norm": round_exact("fragmentation", 3),
-        "humidity_norm": round_exact(F.col("veil_opacity") / F.lit(80.0), 3),
+        "humidity_norm": round_exact(F.col("veil_opacity") / F.lit(K.VEIL), 3),
         "cloud_norm": round_exact(F.coalesce(F.col("clouds"), F.lit(K.DEFAULT_CLOUDS)) / F.lit(100.0), 3),
         "rain_1h": round_exact("rain_1h", 2), "rain_norm": round_exact("rain_norm", 3),
         "is_raining": F.col("is_raining"), "weather_id": F.col("weather_id"), "weather_group": F.col("weather_group"),

@@ -1,8 +1,12 @@
 """Streaming history.
 
-Every micro-batch writes its own ``date=…/batch_id=…`` partitions and never touches those of another
-batch. Replaying a batch after a failure overwrites exactly what it wrote before, so nothing is lost
-or doubled. Readers take the last write per key, which makes arrival order irrelevant.
+Every micro-batch writes its own partitions and never touches those of another batch. Replaying a
+batch after a failure overwrites exactly what it wrote before, so nothing is lost or doubled. Readers
+take the last write per key, which makes arrival order irrelevant.
+
+Readings and archive lie under ``date=…/batch_id=…``, because a batch is refreshed by the days it
+touches; daily and live rows under ``bucket=…/batch_id=…`` (a hash of the site), because features are
+refreshed by site.
 """
 
 from __future__ import annotations
@@ -21,7 +25,6 @@ from skyloom.operators import daily, features, history
 
 KEYS = ["site_id", "date", "hour"]
 SEQ = ["ts", "event_id"]
-PARTITION = ["date", "batch_id"]
 
 
 @dataclass(frozen=True)
@@ -31,6 +34,7 @@ class History:
     root: str
     keys: tuple[str, ...] = tuple(KEYS)
     seq: tuple[str, ...] = tuple(SEQ)
+    buckets: int = 64
 
     def folder(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -46,34 +50,42 @@ def ingest(
     )
 
 
-def _write(df: DataFrame, batch_id: int, path: str) -> None:
+def _write(df: DataFrame, batch_id: int, path: str, by: str = "date") -> None:
     (
-        df.withColumn("batch_id", F.lit(batch_id).cast("long")).hint("rebalance", "date")
+        df.withColumn("batch_id", F.lit(batch_id).cast("long")).hint("rebalance", by)
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTITION).parquet(path)
+        .partitionBy(by, "batch_id").parquet(path)
     )
 
 
-def _on_dates(df: DataFrame, dates: list | None) -> DataFrame:
-    return df if dates is None else df.filter(F.col("date").isin(dates))
+def _bucket(store: History):
+    return F.pmod(F.hash("site_id"), F.lit(store.buckets)).cast("int")
+
+
+def _write_sites(df: DataFrame, batch_id: int, store: History, table: str) -> None:
+    _write(df.withColumn("bucket", _bucket(store)), batch_id, store.folder(table), "bucket")
+
+
+def _pruned(df: DataFrame, partition: str, values: list | None) -> DataFrame:
+    return df if values is None else df.filter(F.col(partition).isin(values))
 
 
 def readings(spark: SparkSession, store: History, dates: list | None = None) -> DataFrame:
     """Current readings: the last write per key; ``dates`` prunes to those partitions."""
-    log = _on_dates(spark.read.parquet(store.folder("raw")), dates)
+    log = _pruned(spark.read.parquet(store.folder("raw")), "date", dates)
     return history.latest(log, list(store.keys), list(store.seq)).drop("batch_id")
 
 
-def days(spark: SparkSession, store: History, dates: list | None = None) -> DataFrame:
-    """Current daily rows: the newest batch's row per site and date."""
-    log = _on_dates(spark.read.parquet(store.folder("daily")), dates)
-    return history.latest(log, ["site_id", "date"], ["batch_id"]).drop("batch_id")
+def days(spark: SparkSession, store: History, buckets: list | None = None) -> DataFrame:
+    """Current daily rows: the newest batch's row per site and date; ``buckets`` prunes partitions."""
+    log = _pruned(spark.read.parquet(store.folder("daily")), "bucket", buckets)
+    return history.latest(log, ["site_id", "date"], ["batch_id"]).drop("batch_id", "bucket")
 
 
 def table(spark: SparkSession, store: History, name: str, keys: list[str]) -> DataFrame:
     """Current rows of any other table of the history."""
     log = spark.read.parquet(store.folder(name))
-    return history.latest(log, keys, ["batch_id"]).drop("batch_id")
+    return history.latest(log, keys, ["batch_id"]).drop("batch_id", "bucket")
 
 
 def touched_dates(batch: DataFrame) -> list:
@@ -81,6 +93,11 @@ def touched_dates(batch: DataFrame) -> list:
     return [row["date"] for row in batch.select("date").distinct().collect()]
 
 
+def touched_buckets(batch: DataFrame, store: History) -> list:
+    """Site buckets a batch writes to, at most ``store.buckets``."""
+    return [row["bucket"] for row in batch.select(_bucket(store).alias("bucket")).distinct().collect()]
+
+
 def upsert_batch(batch: DataFrame, batch_id: int, store: History) -> None:
     """The batch's last write per key goes to the batch's own partitions."""
     _write(history.latest(batch, list(store.keys), list(store.seq)), batch_id, store.folder("raw"))
@@ -90,17 +107,17 @@ def refresh_days(batch: DataFrame, batch_id: int, store: History) -> None:
     """Recompute the (site, date) pairs the batch touched, whatever their age (T6 ``recompute``)."""
     spark = batch.sparkSession
     current = readings(spark, store, touched_dates(batch))
-    _write(daily.daily_live(current, touched=batch), batch_id, store.folder("daily"))
+    _write_sites(daily.daily_live(current, touched=batch), batch_id, store, "daily")
 
 
 def refresh_status(batch: DataFrame, batch_id: int, store: History) -> None:
     """T4: live features and readiness of the sites the batch touched."""
     spark = batch.sparkSession
     sites = batch.select("site_id").distinct()
-    known = days(spark, store).join(sites, "site_id", "left_semi")
+    known = days(spark, store, touched_buckets(batch, store)).join(sites, "site_id", "left_semi")
     counts = known.groupBy("site_id").agg(F.count(F.lit(1)).alias("days"))
     live = features.live_features(known).join(counts.withColumns(daily.readiness("days")), "site_id")
-    _write(live, batch_id, store.folder("live"))
+    _write_sites(live, batch_id, store, "live")
 
 
 def score_batch(
@@ -112,7 +129,7 @@ def score_batch(
     ``entries(readings, risk)`` turns the batch's readings and per-site risk into archive rows.
     """
     spark = batch.sparkSession
-    live = spark.read.parquet(store.folder("live")).filter(F.col("batch_id") == batch_id).drop("batch_id")
+    live = spark.read.parquet(store.folder("live")).filter(F.col("batch_id") == batch_id)
     risk = predict_daily(model, live, cols, ["site_id"])
     last = history.latest(batch, list(store.keys), list(store.seq))
     _write(entries(last, risk), batch_id, store.folder("archive"))
@@ -158,7 +175,7 @@ def daily_stream(stream: DataFrame, store: History, late: str = "recompute", del
     dated = running.withColumn("date", F.to_date("day.start")).drop("day")
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        _write(batch, batch_id, store.folder("daily"))
+        _write_sites(batch, batch_id, store, "daily")
 
     return (
         dated.writeStream.outputMode("update").foreachBatch(each).trigger(availableNow=True)
@@ -186,4 +203,4 @@ def score_stream(
 def compact(spark: SparkSession, store: History, target: History) -> None:
     """Copy the current rows to a fresh history, one batch per table, when small files have piled up."""
     _write(readings(spark, store), 0, target.folder("raw"))
-    _write(days(spark, store), 0, target.folder("daily"))
+    _write_sites(days(spark, store), 0, target, "daily")
