@@ -81,18 +81,28 @@ def to_physical(df: DataFrame, clip_on: str = "result") -> DataFrame:
     return df.withColumns(cleaned)
 
 
-# A slot of up to this many rows is sorted in one task; beyond it the series is cut by rank instead.
-SLOT_ROWS = 20_000_000
-# Inputs estimated below this size cannot hold a larger slot, so they are not counted first.
+# A piece of up to this many rows is sorted in one task; beyond it the series is cut more finely.
+PIECE_ROWS = 20_000_000
+# Inputs estimated below this size cannot hold a larger piece, so they are not counted first.
 SMALL_BYTES = 1 << 30
+DAY_MINUTES = 1440
 
 
-def _slots_fit(slotted: DataFrame, site: str) -> bool:
-    """Whether every (site, slot) is small enough for one task, by file statistics or by counting."""
-    if int(str(slotted._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= SMALL_BYTES:
-        return True
-    largest = slotted.groupBy(site, "_cut").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    return (largest or 0) <= SLOT_ROWS
+def choose_slots(df: DataFrame, site: str = "site_id", ts: str = "ts") -> int | str:
+    """Slot width in minutes: a day, else a minute, else ``range`` where even minutes are too large.
+
+    Decided by file statistics where those rule out a large piece, otherwise by counting readings
+    per site and minute in one pass over two columns.
+    """
+    if int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= SMALL_BYTES:
+        return DAY_MINUTES
+    minutes = df.groupBy(site, minute_bucket(df, ts, 1).alias("_m")).agg(F.count(F.lit(1)).alias("n"))
+    days = minutes.groupBy(site, F.floor(F.col("_m") / F.lit(DAY_MINUTES))).agg(
+        F.sum("n").alias("day"), F.max("n").alias("minute"))
+    largest = days.agg(F.max("day").alias("day"), F.max("minute").alias("minute")).first()
+    if (largest["day"] or 0) <= PIECE_ROWS:
+        return DAY_MINUTES
+    return 1 if largest["minute"] <= PIECE_ROWS else "range"
 
 
 def _cut_by_rank(df: DataFrame, order: list[str]) -> DataFrame:
@@ -106,21 +116,23 @@ def _cut_by_rank(df: DataFrame, order: list[str]) -> DataFrame:
 
 def previous_value(
     df: DataFrame, value: str, name: str, site: str = "site_id", ts: str = "ts",
-    tie: str | None = "event_id", bucket_minutes: int = 1, by: str = "auto",
+    tie: str | None = "event_id", slots: int | str = "auto",
 ) -> DataFrame:
     """The value one row earlier in the site's series, safe for a site with a third of all rows.
 
     A plain ``lag`` over the site would sort a hot site's whole history in one task. The series is
     cut into pieces instead: ``lag`` runs inside (site, piece), and the last value of each piece is
-    carried to the first row of the site's next one. ``by``: ``slot`` cuts by time, ``bucket_minutes``
-    per piece; ``range`` cuts into equal ranges of the (site, time) order, for data where even one
-    slot is too large; ``auto`` takes slots if they fit. Either way a site has few pieces: at most
-    one per time slot of the calendar, or one per range.
+    carried to the first row of the site's next one. ``slots``: minutes per piece; ``range`` for
+    equal ranges of the (site, time) order; ``auto`` chooses by size. A site has few pieces either
+    way: at most one per time slot of the calendar, or one per range.
     """
     order = [ts] + ([tie] if tie else [])
-    cut = df.withColumn("_cut", minute_bucket(df, ts, bucket_minutes))
-    if by == "range" or (by == "auto" and not _slots_fit(cut, site)):
+    if slots == "auto":
+        slots = choose_slots(df, site, ts)
+    if slots == "range":
         cut = _cut_by_rank(df, [site, *order])
+    else:
+        cut = df.withColumn("_cut", minute_bucket(df, ts, slots))
     inside = Window.partitionBy(site, "_cut").orderBy(*order)
     local = cut.withColumn("_lag", F.lag(F.struct(F.col(value).alias("v")), 1).over(inside))
     ends = cut.groupBy(site, "_cut").agg(F.max_by(F.col(value), F.struct(*order)).alias("_end"))
@@ -133,10 +145,10 @@ def previous_value(
 
 def deaccumulate(
     df: DataFrame, col: str = "precip_m", name: str = "precip_mm", scale: float = K.MM_PER_METRE,
-    site: str = "site_id", ts: str = "ts", tie: str | None = "event_id", bucket_minutes: int = 1, by: str = "auto",
+    site: str = "site_id", ts: str = "ts", tie: str | None = "event_id", slots: int | str = "auto",
 ) -> DataFrame:
     """Positive part of the step of an accumulated series; the first row of a site is NULL."""
-    stepped = previous_value(df, col, "_before", site, ts, tie, bucket_minutes, by)
+    stepped = previous_value(df, col, "_before", site, ts, tie, slots)
     return stepped.withColumn(
         name, finite(clip(F.col(col) - F.col("_before"), low=0.0) * F.lit(scale))
     ).drop("_before")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from skyloom import constants as K
-from skyloom.ml.split import fit_scaler, apply_scaler
+from skyloom import schemas
+from skyloom.ml.split import apply_scaler, fit_scaler
 from skyloom.operators import daily, evaluate, features, history, labels, series, windows
 from skyloom.plans import bridge as B
 from skyloom.plans import flows
@@ -393,6 +394,17 @@ def s2_raw_history(spark, sf):
     return rounded(tables.read_partitioned(spark, path)).select(*raw.columns)
 
 
+@query("s4_daily_history", f"WITH {B.DAILY_LIVE} {_LIVE_SQL}")
+def s4_daily_history(spark, sf):
+    """The daily table written as CSV and scanned back with its fixed schema."""
+    path = work_path(spark, "daily")
+    fields = [f.name for f in schemas.DAILY_HISTORY.fields]
+    live = daily.daily_live(B.obs(spark, sf)).select("site_id", *fields)
+    live.write.option("header", True).csv(path)
+    kept = tables.read_daily_csv(spark, path, extra="site_id bigint")
+    return rounded(kept.select(*live.columns))
+
+
 @query("s7_features_store", f"{_M11}, kept AS ({_M11_SELECT}) SELECT site_id, date, temp_c_max, dry_index, target FROM kept")
 def s7_features_store(spark, sf):
     path = work_path(spark, "features")

@@ -16,9 +16,13 @@ def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.RAW_HISTORY).option("header", True).csv(path)
 
 
-def read_daily_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Daily history from CSV, dates parsed."""
-    return spark.read.schema(schemas.DAILY_HISTORY).option("header", True).csv(path)
+def read_daily_csv(spark: SparkSession, path: str, extra: str | None = None) -> DataFrame:
+    """Daily history from CSV, dates parsed; ``extra`` puts key columns (DDL) in front."""
+    return spark.read.schema(_keyed(schemas.DAILY_HISTORY, extra)).option("header", True).csv(path)
+
+
+def _keyed(schema: T.StructType, extra: str | None) -> T.StructType:
+    return T.StructType(T.StructType.fromDDL(extra).fields + schema.fields) if extra else schema
 
 
 def write_partitioned(df: DataFrame, path: str, by: str = "date", sort: Iterable[str] = ()) -> None:
@@ -84,10 +88,7 @@ def write_archive(df: DataFrame, path: str) -> None:
 
 def read_archive(spark: SparkSession, path: str, multiline: bool = False, extra: str | None = None) -> DataFrame:
     """JSON lines, or a single JSON array with ``multiline``; ``extra`` adds key columns as DDL."""
-    schema = schemas.ARCHIVE
-    if extra:
-        schema = T.StructType(T.StructType.fromDDL(extra).fields + schema.fields)
-    return spark.read.schema(schema).option("multiLine", multiline).json(path)
+    return spark.read.schema(_keyed(schemas.ARCHIVE, extra)).option("multiLine", multiline).json(path)
 
 
 def write_metrics(df: DataFrame, path: str) -> None:

@@ -26,11 +26,11 @@ def skewed():
 
 
 @pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
-@pytest.mark.parametrize("minutes,by", [(1, "auto"), (60, "slot"), (1440, "slot"), (1, "range")])
-def test_deaccumulate_equals_pandas(spark, skewed, kind, minutes, by):
+@pytest.mark.parametrize("slots", ["auto", 1, 60, "range"])
+def test_deaccumulate_equals_pandas(spark, skewed, kind, slots):
     df = spark.createDataFrame(skewed.sample(frac=1, random_state=1)).withColumn("ts", F.col("ts").cast(kind))
     df = df.withColumn("v", F.when(~F.isnan("v"), F.col("v")))
-    got = series.deaccumulate(df, "v", "out", bucket_minutes=minutes, by=by).select("event_id", "out").toPandas()
+    got = series.deaccumulate(df, "v", "out", slots=slots).select("event_id", "out").toPandas()
     want = skewed.sort_values(["site_id", "ts", "event_id"]).copy()
     want["out"] = want.groupby("site_id")["v"].diff().clip(lower=0) * 1000
     merged = got.merge(want[["event_id", "out"]], on="event_id", suffixes=("", "_want"))
@@ -38,13 +38,17 @@ def test_deaccumulate_equals_pandas(spark, skewed, kind, minutes, by):
     np.testing.assert_allclose(merged["out"].astype(float), merged["out_want"].astype(float), rtol=1e-12)
 
 
-def test_large_slots_are_cut_by_rank(spark, skewed, monkeypatch):
+def test_large_pieces_are_cut_more_finely(spark, skewed, monkeypatch):
+    df = spark.createDataFrame(skewed)
+    per_minute = skewed.groupby(["site_id", "ts"]).size().max()
+    assert series.choose_slots(df) == 1440
     monkeypatch.setattr(series, "SMALL_BYTES", 1)
-    df = spark.createDataFrame(skewed).withColumn("_cut", F.lit(0))
-    assert series._slots_fit(df, "site_id")
-    monkeypatch.setattr(series, "SLOT_ROWS", 100)
-    assert not series._slots_fit(df, "site_id")
-    got = series.previous_value(spark.createDataFrame(skewed), "event_id", "prev").select("event_id", "prev").toPandas()
+    assert series.choose_slots(df) == 1440
+    monkeypatch.setattr(series, "PIECE_ROWS", int(per_minute))
+    assert series.choose_slots(df) == 1
+    monkeypatch.setattr(series, "PIECE_ROWS", int(per_minute) - 1)
+    assert series.choose_slots(df) == "range"
+    got = series.previous_value(df, "event_id", "prev").select("event_id", "prev").toPandas()
     want = skewed.sort_values(["site_id", "ts", "event_id"])
     want = want.assign(prev=want.groupby("site_id")["event_id"].shift(1))[["event_id", "prev"]]
     merged = got.merge(want, on="event_id", suffixes=("", "_want"))
