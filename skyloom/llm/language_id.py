@@ -29,6 +29,7 @@ UNKNOWN = "und"
 SIZE = 300
 LANGUAGES_AT_ONCE = 500
 FLUSH_KEYS = 2_000_000
+MERGE_KEYS = 500_000
 BLANK = 32
 RESULT = fields(lang_pred=T.StringType(), score=T.DoubleType())
 
@@ -64,26 +65,46 @@ def top_keys(keys: np.ndarray, size: int = SIZE) -> np.ndarray:
     return found[np.lexsort((found, -times))[:size]]
 
 
+class _Counts:
+    """Running counts of keys, merged whenever enough of them wait."""
+
+    def __init__(self):
+        self.keys, self.times, self.waiting, self.size = [], [], [], 0
+
+    def add(self, keys: np.ndarray) -> None:
+        self.waiting.append(keys)
+        self.size += len(keys)
+        if self.size >= MERGE_KEYS:
+            self.merge()
+
+    def merge(self) -> tuple[np.ndarray, np.ndarray]:
+        new = np.concatenate([*self.waiting, np.empty(0, dtype=np.int64)])
+        self.waiting, self.size = [], 0
+        keys, times = np.unique(new, return_counts=True)
+        if len(self.keys):
+            found, where = np.unique(np.concatenate((self.keys, keys)), return_inverse=True)
+            times = np.bincount(where, np.concatenate((self.times, times))).astype(np.int64)
+            keys = found
+        self.keys, self.times = keys, times
+        return keys, times
+
+
 def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    held: dict[str, list[np.ndarray]] = {}
-    waiting = 0
+    held: dict[str, _Counts] = {}
 
     def flush() -> Iterator[pd.DataFrame]:
-        for lang, parts in held.items():
-            keys = np.concatenate([k for k, _ in parts])
-            times = np.concatenate([n for _, n in parts])
-            found, where = np.unique(keys, return_inverse=True)
-            yield pd.DataFrame({"lang": lang, "gram": found, "n": np.bincount(where, times).astype("int64")})
+        for lang, counts in held.items():
+            keys, times = counts.merge()
+            yield pd.DataFrame({"lang": lang, "gram": keys, "n": times})
+        held.clear()
 
     for batch in batches:
-        for lang, texts in batch.groupby("lang")["text"]:
-            keys = np.concatenate([gram_keys(t) for t in texts])
-            part = np.unique(keys, return_counts=True)
-            waiting += len(part[0])
-            held.setdefault(lang, []).append(part)
-        if waiting > FLUSH_KEYS:
+        for lang, text in zip(batch["lang"], batch["text"]):
+            if lang not in held:
+                held[lang] = _Counts()
+            held[lang].add(gram_keys(text))
+        if sum(len(c.keys) + c.size for c in held.values()) > FLUSH_KEYS:
             yield from flush()
-            held, waiting = {}, 0
     yield from flush()
 
 
