@@ -1,4 +1,4 @@
 """Imports every operator module so that the registry of text queries is complete."""
 
-from skyloom.llm import language_id, mixing, quality_rules, token_counts  # noqa: F401
+from skyloom.llm import html_text, language_id, mixing, quality_rules, token_counts  # noqa: F401
 from skyloom.llm.common import ORACLES, QUERIES  # noqa: F401
