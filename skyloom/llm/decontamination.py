@@ -195,19 +195,18 @@ def item_blocks(items: DataFrame, id_col: str = "item_id", text_col: str = "text
         yield [r for r in found if r[1]]
 
 
-def hits_column(items: DataFrame, error_rate: float = ERROR_RATE):
-    """A column function text -> array of hits over all items."""
-    parts = []
-    for block in item_blocks(items):
-        matcher = Matcher(block, error_rate)
+def _block_column(matcher: Matcher):
+    names = HIT.fieldNames()
+
+    def search(texts: pd.Series) -> pd.Series:
+        return pd.Series([[dict(zip(names, hit)) for hit in matcher.search(t)] for t in texts], dtype=object)
 
-        def search(texts: pd.Series, matcher=matcher) -> pd.Series:
-            return pd.Series([
-                [dict(zip(("item_id", "distance", "n_errors_allowed", "matched"), hit)) for hit in matcher.search(t)]
-                for t in texts
-            ], dtype=object)
+    return pandas_udf(search, T.ArrayType(HIT))
 
-        parts.append(pandas_udf(search, T.ArrayType(HIT)))
+
+def hits_column(items: DataFrame, error_rate: float = ERROR_RATE):
+    """A column function text -> array of hits over all items."""
+    parts = [_block_column(Matcher(block, error_rate)) for block in item_blocks(items)]
 
     def column(text: Column) -> Column:
         return F.concat(*[part(text) for part in parts])
