@@ -1,4 +1,4 @@
 """Imports every operator module so that the registry of text queries is complete."""
 
-from skyloom.llm import decontamination, html_text, language_id, mixing, quality_classifier, quality_rules, token_counts, warc  # noqa: F401
+from skyloom.llm import decontamination, html_text, language_id, language_model, mixing, quality_classifier, quality_rules, token_counts, warc  # noqa: F401
 from skyloom.llm.common import ORACLES, QUERIES  # noqa: F401
