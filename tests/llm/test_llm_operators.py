@@ -197,7 +197,7 @@ def test_article_of_a_page():
         "Title & more\n\nFirst para and link <x> café.\n\nTi.\n\none\n\ntwo\n\nA long last sentence.")
 
 
-@pytest.mark.parametrize("page", [None, "", "<", "<!-- x", "<![x y", "<nav>only</nav>", "<script>", "</p></div>"])
+@pytest.mark.parametrize("page", [None, "", "<", "<!-- x -->", "<![x y", "<nav>only</nav>", "<script>", "</p></div>"])
 def test_pages_without_an_article(page):
     assert html_text.extract(page) in ("", "<", "<![x y")
 
