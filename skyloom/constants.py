@@ -154,14 +154,10 @@ POINT_PRESSURE_BELOW = 2.0
 POINT_RAIN_MM = 5.0
 
 # --- Fixed values: status texts ------------------------------------------------------
-STATUS_READINGS = "/{expected} lecturas hoy"
-STATUS_EMPTY = "sin días aún ("
-STATUS_DAYS = " días ("
-STATUS_JOIN = ") — "
-STATUS_MISSING = "faltan "
-STATUS_ROLLING = " para rolling real"
-STATUS_LAGS = " para lags completos"
-STATUS_COMPLETE = "predicción completa ✓"
+STATUS_EMPTY = "sin días aún ({today}/{expected} lecturas hoy)"
+STATUS_ROLLING = "{days} días ({today}/{expected} lecturas hoy) — faltan {missing} para rolling real"
+STATUS_LAGS = "{days} días ({today}/{expected} lecturas hoy) — faltan {missing} para lags completos"
+STATUS_COMPLETE = "{days} días ({today}/{expected} lecturas hoy) — predicción completa ✓"
 
 # --- Fixed values: labels ------------------------------------------------------------
 COMPASS = ("N", "NNE", "NE", "ENE", "E", "ESE", "SE", "SSE",

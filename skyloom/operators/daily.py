@@ -109,18 +109,19 @@ def readiness(days: str):
 def status_text(days: str = "days", today: str = "readings_today"):
     """The readable status line."""
     n = F.col(days)
-    readings = F.concat(F.col(today).cast("string"), F.lit(K.STATUS_READINGS.format(expected=K.READINGS_PER_DAY)))
-    lead = F.concat(n.cast("string"), F.lit(K.STATUS_DAYS), readings, F.lit(K.STATUS_JOIN))
 
-    def missing(limit, purpose):
-        left = (F.lit(limit) - n).cast("string")
-        return F.concat(lead, F.lit(K.STATUS_MISSING), left, F.lit(purpose))
+    def filled(template, limit=0):
+        values = {"days": n, "today": F.col(today), "expected": F.lit(K.READINGS_PER_DAY), "missing": F.lit(limit) - n}
+        text = F.lit(template)
+        for name, value in values.items():
+            text = F.replace(text, F.lit("{" + name + "}"), value.cast("string"))
+        return text
 
     return (
-        F.when(n == 0, F.concat(F.lit(K.STATUS_EMPTY), readings, F.lit(")")))
-        .when(n < K.MIN_DAYS_ROLLING, missing(K.MIN_DAYS_ROLLING, K.STATUS_ROLLING))
-        .when(n < K.MIN_DAYS_FULL, missing(K.MIN_DAYS_FULL, K.STATUS_LAGS))
-        .otherwise(F.concat(lead, F.lit(K.STATUS_COMPLETE)))
+        F.when(n == 0, filled(K.STATUS_EMPTY))
+        .when(n < K.MIN_DAYS_ROLLING, filled(K.STATUS_ROLLING, K.MIN_DAYS_ROLLING))
+        .when(n < K.MIN_DAYS_FULL, filled(K.STATUS_LAGS, K.MIN_DAYS_FULL))
+        .otherwise(filled(K.STATUS_COMPLETE))
     )
 
 

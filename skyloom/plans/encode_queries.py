@@ -41,14 +41,19 @@ def p11_normalize(spark, sf):
     return rounded(B.obs(spark, sf).select("event_id", *[c.alias(n) for n, c in V.norms().items()]))
 
 
-@query("p12_color_ramp", """WITH t AS (
-  SELECT event_id, greatest(0e0, least(1e0, (46e0 * value / (value + 4e0)) / 46e0)) AS n FROM events),
-s AS (SELECT *, CASE WHEN n < 0.25 THEN 1 WHEN n < 0.5 THEN 2 WHEN n < 0.75 THEN 3 ELSE 4 END AS k FROM t),
-u AS (SELECT *, (n - (k - 1) * 0.25e0) / 0.25e0 AS f FROM s)
-SELECT event_id,
-  CAST(trunc(([28,45,90,160])[k] + ([17,45,70,30])[k] * f) AS INTEGER) AS red,
-  CAST(trunc(([58,85,70,90])[k] + ([27,-15,20,20])[k] * f) AS INTEGER) AS green,
-  CAST(trunc(([110,140,50,30])[k] + ([30,-90,-20,-10])[k] * f) AS INTEGER) AS blue
+# Colour stops of the temperature ramp (position, red, green, blue).
+_RAMP = """stops(pos, red, green, blue) AS (VALUES
+  (0.00e0, 28, 58, 110), (0.25e0, 45, 85, 140), (0.50e0, 90, 70, 50), (0.75e0, 160, 90, 30), (1.00e0, 190, 110, 20)),
+pieces AS (SELECT pos, red, green, blue, lead(pos) OVER w AS pos2, lead(red) OVER w AS red2, lead(green) OVER w AS green2,
+  lead(blue) OVER w AS blue2 FROM stops WINDOW w AS (ORDER BY pos))"""
+
+
+@query("p12_color_ramp", f"""WITH {_RAMP},
+t AS (SELECT event_id, greatest(0e0, least(1e0, (46e0 * value / (value + 4e0)) / 46e0)) AS n FROM events),
+u AS (SELECT event_id, p.*, (n - pos) / (pos2 - pos) AS f FROM t JOIN pieces p
+  ON n >= pos AND (n < pos2 OR pos2 = 1e0 AND n = 1e0))
+SELECT event_id, CAST(trunc(red + (red2 - red) * f) AS INTEGER) AS red,
+  CAST(trunc(green + (green2 - green) * f) AS INTEGER) AS green, CAST(trunc(blue + (blue2 - blue) * f) AS INTEGER) AS blue
 FROM u""")
 def p12_color_ramp(spark, sf):
     v = F.col("value")
@@ -315,10 +320,11 @@ def x28_scores_long(spark, sf):
 
 
 # ---------------------------------------------------------------- colours
-_TEMP_BAND = """WITH {obs}, band AS (SELECT event_id, CASE WHEN temperature <= 5 THEN 1 WHEN temperature <= 12 THEN 2 WHEN temperature <= 18 THEN 3
-  WHEN temperature <= 24 THEN 4 WHEN temperature <= 30 THEN 5 ELSE 6 END AS b FROM obs)
-SELECT event_id, CAST(([225,200,145,55,28,5])[b] AS DOUBLE) AS h, CAST(([70,65,60,75,80,78])[b] AS DOUBLE) AS s,
-  CAST(([35,38,42,52,52,48])[b] AS DOUBLE) AS l FROM band"""
+# Ground colour by temperature (up to this value: hue, saturation, lightness).
+_TEMP_BAND = """WITH {obs}, bands(above, upto, h, s, l) AS (VALUES
+  (-1e9, 5e0, 225e0, 70e0, 35e0), (5e0, 12e0, 200e0, 65e0, 38e0), (12e0, 18e0, 145e0, 60e0, 42e0),
+  (18e0, 24e0, 55e0, 75e0, 52e0), (24e0, 30e0, 28e0, 80e0, 52e0), (30e0, 1e9, 5e0, 78e0, 48e0))
+SELECT event_id, h, s, l FROM obs JOIN bands ON temperature > above AND temperature <= upto"""
 
 
 @query("x12_temp_band", _TEMP_BAND.format(obs=B.OBS))
@@ -326,11 +332,15 @@ def x12_temp_band(spark, sf):
     return B.obs(spark, sf).select("event_id", V.temperature_hsl("temperature").alias("c")).select("event_id", "c.*")
 
 
-_HOUR = """hours AS (SELECT *, CASE WHEN hour < 5 THEN 1 WHEN hour < 8 THEN 2 WHEN hour < 12 THEN 3 WHEN hour < 16 THEN 4 WHEN hour < 20 THEN 5 ELSE 6 END AS hb,
-  CASE WHEN hour < 6 THEN 1 WHEN hour < 10 THEN 2 WHEN hour < 13 THEN 3 WHEN hour < 17 THEN 4 WHEN hour < 20 THEN 5 ELSE 6 END AS lb FROM {source}),
-ground AS (SELECT *, CAST(([220,28,42,200,25,230])[hb] AS DOUBLE) AS gh, CAST(([18,30,18,14,28,20])[hb] AS DOUBLE) AS gs,
-  CAST(([12,72,88,90,78,18])[hb] AS DOUBLE) AS gl, ([0.5e0,0.1e0,0.55e0,0.9e0,0.85e0,0.4e0])[lb] AS lx,
-  ([1.1e0,0.8e0,-0.1e0,0.15e0,0.6e0,1.15e0])[lb] AS ly FROM hours)"""
+# Ground colour by hour (from, before, hue, saturation, lightness) and place of the light by hour.
+_HOUR = """hour_colours(from_hour, to_hour, gh, gs, gl) AS (VALUES
+  (0, 5, 220e0, 18e0, 12e0), (5, 8, 28e0, 30e0, 72e0), (8, 12, 42e0, 18e0, 88e0),
+  (12, 16, 200e0, 14e0, 90e0), (16, 20, 25e0, 28e0, 78e0), (20, 24, 230e0, 20e0, 18e0)),
+hour_lights(from_light, to_light, lx, ly) AS (VALUES
+  (0, 6, 0.5e0, 1.1e0), (6, 10, 0.1e0, 0.8e0), (10, 13, 0.55e0, -0.1e0),
+  (13, 17, 0.9e0, 0.15e0), (17, 20, 0.85e0, 0.6e0), (20, 24, 0.4e0, 1.15e0)),
+ground AS (SELECT * FROM {source}
+  JOIN hour_colours ON hour >= from_hour AND hour < to_hour JOIN hour_lights ON hour >= from_light AND hour < to_light)"""
 
 
 @query("x13_hour_band", f"""WITH {B.DOMINANT}, {_HOUR.format(source='dominant')} SELECT event_id, gh AS h, gs AS s, gl AS l, lx AS light_x, ly AS light_y,
@@ -344,11 +354,14 @@ def x13_hour_band(spark, sf):
                              F.col("w.x").alias("wind_x"), F.col("w.y").alias("wind_y")))
 
 
+# Tint of each dominant variable (hue, saturation, lightness).
 _PALETTE = f"""{B.DOMINANT}, {_HOUR.format(source='dominant')},
-tinted AS (SELECT *, CASE dominant WHEN 'temperatura' THEN 1 WHEN 'viento' THEN 2 WHEN 'humedad' THEN 3 WHEN 'presion' THEN 4 WHEN 'nubes' THEN 5 ELSE 6 END AS d,
-  dominant_strength * 0.35e0 AS mix FROM ground),
-palette AS (SELECT *, gh * (1 - mix) + ([28,215,148,40,210,285])[d] * mix AS h, gs * (1 - mix) + ([70,60,55,50,22,45])[d] * mix * 0.3e0 AS s,
-  gl * (1 - mix) + ([52,48,44,48,60,40])[d] * mix * 0.2e0 AS l FROM tinted)"""
+tints(tint, th, ts_, tl) AS (VALUES
+  ('temperatura', 28e0, 70e0, 52e0), ('viento', 215e0, 60e0, 48e0), ('humedad', 148e0, 55e0, 44e0),
+  ('presion', 40e0, 50e0, 48e0), ('nubes', 210e0, 22e0, 60e0), ('pm25', 285e0, 45e0, 40e0)),
+tinted AS (SELECT *, dominant_strength * 0.35e0 AS mix FROM ground JOIN tints ON dominant = tint),
+palette AS (SELECT *, gh * (1 - mix) + th * mix AS h, gs * (1 - mix) + ts_ * mix * 0.3e0 AS s,
+  gl * (1 - mix) + tl * mix * 0.2e0 AS l FROM tinted)"""
 
 
 @query("x14_palette", f"WITH {_PALETTE} SELECT event_id, round(h, 9) AS h, round(s, 9) AS s, round(l, 9) AS l FROM palette")
