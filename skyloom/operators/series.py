@@ -9,7 +9,6 @@ from skyloom import constants as K
 from skyloom.functions import physics
 from skyloom.functions.calendar import minute_bucket
 from skyloom.functions.numbers import clip, finite
-from skyloom.session import durable
 
 
 def rename_grid(df: DataFrame, mapping: dict[str, str] | None = None) -> DataFrame:
@@ -81,58 +80,24 @@ def to_physical(df: DataFrame, clip_on: str = "result") -> DataFrame:
     return df.withColumns(cleaned)
 
 
-# A piece of up to this many rows is sorted in one task; beyond it the series is cut more finely.
-PIECE_ROWS = 20_000_000
-# Inputs estimated below this size cannot hold a larger piece, so they are not counted first.
-SMALL_BYTES = 1 << 30
-DAY_MINUTES = 1440
-
-
-def choose_slots(df: DataFrame, site: str = "site_id", ts: str = "ts") -> int | str:
-    """Slot width in minutes: a day, else a minute, else ``range`` where even minutes are too large.
-
-    Decided by file statistics where those rule out a large piece, otherwise by counting readings
-    per site and minute in one pass over two columns.
-    """
-    if int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= SMALL_BYTES:
-        return DAY_MINUTES
-    minutes = df.groupBy(site, minute_bucket(df, ts, 1).alias("_m")).agg(F.count(F.lit(1)).alias("n"))
-    days = minutes.groupBy(site, F.floor(F.col("_m") / F.lit(DAY_MINUTES))).agg(
-        F.sum("n").alias("day"), F.max("n").alias("minute"))
-    largest = days.agg(F.max("day").alias("day"), F.max("minute").alias("minute")).first()
-    if (largest["day"] or 0) <= PIECE_ROWS:
-        return DAY_MINUTES
-    return 1 if largest["minute"] <= PIECE_ROWS else "range"
-
-
-def _cut_by_rank(df: DataFrame, order: list[str]) -> DataFrame:
-    """Consecutive ranges of equal size along ``order``, numbered by ``_cut``.
-
-    Range partitioning samples the keys, so a hot site, day or instant is spread over as many ranges
-    as it needs. The numbered rows are written once: both later readers must see the same cuts.
-    """
-    return durable(df.repartitionByRange(*order).withColumn("_cut", F.spark_partition_id()), "ranges")
+SLOT_MINUTES = 60
 
 
 def previous_value(
     df: DataFrame, value: str, name: str, site: str = "site_id", ts: str = "ts",
-    tie: str | None = "event_id", slots: int | str = "auto",
+    tie: str | None = "event_id", slots: int = SLOT_MINUTES,
 ) -> DataFrame:
     """The value one row earlier in the site's series, safe for a site with a third of all rows.
 
     A plain ``lag`` over the site would sort a hot site's whole history in one task. The series is
-    cut into pieces instead: ``lag`` runs inside (site, piece), and the last value of each piece is
-    carried to the first row of the site's next one. ``slots``: minutes per piece; ``range`` for
-    equal ranges of the (site, time) order; ``auto`` chooses by size. A site has few pieces either
-    way: at most one per time slot of the calendar, or one per range.
+    cut into time slots of ``slots`` minutes instead, the same for every input: ``lag`` runs inside
+    (site, slot), and the last value of each slot is carried to the first row of the site's next
+    one. A slot has as many rows as a site reports in it, and a site as many slots as the calendar
+    (8,760 a year), so both windows stay small whatever the table holds; only a site that reports
+    everything within one slot would need a shorter one.
     """
     order = [ts] + ([tie] if tie else [])
-    if slots == "auto":
-        slots = choose_slots(df, site, ts)
-    if slots == "range":
-        cut = _cut_by_rank(df, [site, *order])
-    else:
-        cut = df.withColumn("_cut", minute_bucket(df, ts, slots))
+    cut = df.withColumn("_cut", minute_bucket(df, ts, slots))
     inside = Window.partitionBy(site, "_cut").orderBy(*order)
     local = cut.withColumn("_lag", F.lag(F.struct(F.col(value).alias("v")), 1).over(inside))
     ends = cut.groupBy(site, "_cut").agg(F.max_by(F.col(value), F.struct(*order)).alias("_end"))
@@ -145,7 +110,7 @@ def previous_value(
 
 def deaccumulate(
     df: DataFrame, col: str = "precip_m", name: str = "precip_mm", scale: float = K.MM_PER_METRE,
-    site: str = "site_id", ts: str = "ts", tie: str | None = "event_id", slots: int | str = "auto",
+    site: str = "site_id", ts: str = "ts", tie: str | None = "event_id", slots: int = SLOT_MINUTES,
 ) -> DataFrame:
     """Positive part of the step of an accumulated series; the first row of a site is NULL."""
     stepped = previous_value(df, col, "_before", site, ts, tie, slots)

@@ -192,13 +192,22 @@ def w7_target(spark, sf):
 
 
 @query("w9_sequences", f"""WITH {B.SHIP_DAYS}, steps AS (
-  SELECT *, row_number() OVER (PARTITION BY site_id ORDER BY date) AS rn FROM ship_days)
-SELECT t.site_id, t.date, t.target, CAST(s.rn - t.rn + 14 AS INTEGER) AS step, s.amount, s.peak
-FROM steps t JOIN steps s ON s.site_id = t.site_id AND s.rn BETWEEN t.rn - 14 AND t.rn - 1 WHERE t.rn > 14""")
+  SELECT *, row_number() OVER (PARTITION BY site_id ORDER BY date) AS rn,
+    lag(amount, 14) OVER w AS first_amount, lag(amount, 1) OVER w AS last_amount,
+    sum(amount) OVER (w ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING) AS amount_sum,
+    max(peak) OVER (w ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING) AS peak_max FROM ship_days
+  WINDOW w AS (PARTITION BY site_id ORDER BY date))
+SELECT site_id, date, target, CAST(14 AS INTEGER) AS steps, first_amount, last_amount,
+  round(amount_sum, 4) AS amount_sum, peak_max FROM steps WHERE rn > 14""")
 def w9_sequences(spark, sf):
+    """Every window, compared by its length, first and last step, sum and peak."""
     df = windows.sequences(B.ship_days(spark, sf), ["amount", "peak"], K.SEQUENCE_LENGTH)
-    steps = df.select("site_id", "date", "target", F.posexplode("seq").alias("step", "v"))
-    return steps.select("site_id", "date", "target", "step", F.col("v")[0].alias("amount"), F.col("v")[1].alias("peak"))
+    amounts = F.transform("seq", lambda v: v[0])
+    return df.select(
+        "site_id", "date", "target", F.size("seq").alias("steps"), F.col("seq")[0][0].alias("first_amount"),
+        F.element_at("seq", -1)[0].alias("last_amount"),
+        F.round(F.aggregate(amounts, F.lit(0.0), lambda a, x: a + x), 4).alias("amount_sum"),
+        F.array_max(F.transform("seq", lambda v: v[1])).alias("peak_max"))
 
 
 @query("w10_newest_sequence", f"""WITH {B.SHIP_DAYS}, steps AS (

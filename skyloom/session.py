@@ -71,3 +71,9 @@ def durable(df: DataFrame, name: str = "cut") -> DataFrame:
     path = work_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Does a file or folder exist, wherever Spark can reach it?"""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)

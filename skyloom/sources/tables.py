@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyloom import schemas
+from skyloom.session import durable, path_exists
 
 
 def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -42,9 +43,24 @@ def read_partitioned(spark: SparkSession, path: str, schema: T.StructType | None
     return reader.parquet(path)
 
 
+def _write_years(df: DataFrame, path: str, time: str) -> None:
+    """Replace the days of ``df`` in a table partitioned by year.
+
+    Years are the unit of overwriting, so the other days of the touched years are merged in first;
+    untouched years are neither read nor written.
+    """
+    new = df.withColumn("year", F.year(time))
+    if path_exists(df.sparkSession, path):
+        days = new.select("year", F.to_date(time).alias("_day")).distinct()
+        old = df.sparkSession.read.parquet(path).join(days.select("year").distinct(), "year", "left_semi")
+        others = old.withColumn("_day", F.to_date(time)).join(days, ["year", "_day"], "left_anti").drop("_day")
+        new = durable(new.unionByName(others, allowMissingColumns=True), "years")
+    write_partitioned(new, path, "year")
+
+
 def write_grid(df: DataFrame, path: str, time: str = "valid_time") -> None:
-    """The long grid table partitioned by year."""
-    write_partitioned(df.withColumn("year", F.year(time)), path, "year")
+    """The long grid table by year; a write replaces the days it holds and no others."""
+    _write_years(df, path, time)
 
 
 def read_grid(spark: SparkSession, path: str, years: Iterable[int] | None = None) -> DataFrame:
@@ -71,8 +87,8 @@ def union_all(parts: list[DataFrame]) -> DataFrame:
 
 
 def write_features(df: DataFrame, path: str, date: str = "date") -> None:
-    """Feature table partitioned by year."""
-    write_partitioned(df.withColumn("year", F.year(date)), path, "year")
+    """Feature table by year; a write replaces the days it holds and no others."""
+    _write_years(df, path, date)
 
 
 def read_features(spark: SparkSession, path: str, years: Iterable[int] | None = None) -> DataFrame:

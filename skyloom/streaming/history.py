@@ -22,6 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from skyloom.ml.scoring import predict_daily
 from skyloom.operators import daily, features, history
+from skyloom.session import path_exists
 
 KEYS = ["site_id", "date", "hour"]
 SEQ = ["ts", "event_id"]
@@ -200,7 +201,19 @@ def score_stream(
     return run(stream, store, upsert_batch, refresh_days, refresh_status, scored)
 
 
+COMPACTED = -1  # no stream numbers a batch like this, so later batches never overwrite compacted rows
+
+
 def compact(spark: SparkSession, store: History, target: History) -> None:
-    """Copy the current rows to a fresh history, one batch per table, when small files have piled up."""
-    _write(readings(spark, store), 0, target.folder("raw"))
-    _write_sites(days(spark, store), 0, target, "daily")
+    """Copy the current rows of every table to a fresh history when small files have piled up.
+
+    Stop the stream first and start it on ``target``: its batches count from 0 again and come on top of
+    the compacted rows, also those that arrive twice, because readers take the last write per key.
+    """
+    _write(readings(spark, store), COMPACTED, target.folder("raw"))
+    if path_exists(spark, store.folder("daily")):
+        _write_sites(days(spark, store), COMPACTED, target, "daily")
+    if path_exists(spark, store.folder("live")):
+        _write_sites(table(spark, store, "live", ["site_id"]), COMPACTED, target, "live")
+    if path_exists(spark, store.folder("archive")):
+        _write(table(spark, store, "archive", list(store.keys)), COMPACTED, target.folder("archive"))

@@ -79,6 +79,20 @@ def test_partition_overwrite_touches_only_given_days(spark):
     assert sorted(r["v"] for r in tables.read_partitioned(spark, path).collect()) == [1, 3]
 
 
+def test_one_new_day_keeps_the_rest_of_the_year(spark):
+    path, grid = work_path(spark, "features"), work_path(spark, "grid-days")
+    days = [dt.date(2024, 1, d) for d in (1, 2, 3)]
+    two = spark.createDataFrame([(1, d, float(d.day)) for d in days[:2]], "site_id int, date date, v double")
+    tables.write_features(two, path)
+    tables.write_features(spark.createDataFrame([(1, days[2], 3.0), (1, days[1], 9.0)], two.schema), path)
+    assert sorted(r["v"] for r in tables.read_features(spark, path).select("v").collect()) == [1.0, 3.0, 9.0]
+    assert "day" not in tables.read_features(spark, path).columns
+    for hour, day in ((12, 1), (13, 2), (14, 2)):
+        rows = [(dt.datetime(2024, 1, day, hour), float(hour))]
+        tables.write_grid(spark.createDataFrame(rows, "valid_time timestamp, v double"), grid)
+    assert sorted(r["v"] for r in tables.read_grid(spark, grid).collect()) == [12.0, 14.0]
+
+
 def test_archive_array_and_lines(spark, tmp_path):
     entry = {"date": "2031-07-01", "hour": 12, "city": "Port Example", "dominant": "presion", "risk_score": 0.049, "ml_ready": True}
     path = tmp_path / "archive.json"

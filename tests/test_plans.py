@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from skyloom.plans import all_queries
 
 SLOW = {"m1_forest_scores", "m3_cv", "m5_attribution", "m6_sequence_scores", "m7_sequence_newest", "m9_fallback_scores",
         "t2_stream_upsert", "t3_stream_daily", "t4_stream_status", "t5_stream_archive", "t6_stream_drop_late"}
@@ -12,7 +13,7 @@ def plan(spark, sf, name):
     return entry.queries()[name](spark, sf)._jdf.queryExecution().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(all_queries.QUERIES) - SLOW))
 def test_no_pair_joins_and_no_python(spark, sf, name):
     text = plan(spark, sf, name)
     physical = text[text.index("== Physical Plan =="):]

@@ -26,7 +26,7 @@ def skewed():
 
 
 @pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
-@pytest.mark.parametrize("slots", ["auto", 1, 60, "range"])
+@pytest.mark.parametrize("slots", [1, 60, 1440])
 def test_deaccumulate_equals_pandas(spark, skewed, kind, slots):
     df = spark.createDataFrame(skewed.sample(frac=1, random_state=1)).withColumn("ts", F.col("ts").cast(kind))
     df = df.withColumn("v", F.when(~F.isnan("v"), F.col("v")))
@@ -38,23 +38,6 @@ def test_deaccumulate_equals_pandas(spark, skewed, kind, slots):
     np.testing.assert_allclose(merged["out"].astype(float), merged["out_want"].astype(float), rtol=1e-12)
 
 
-def test_large_pieces_are_cut_more_finely(spark, skewed, monkeypatch):
-    df = spark.createDataFrame(skewed)
-    per_minute = skewed.groupby(["site_id", "ts"]).size().max()
-    assert series.choose_slots(df) == 1440
-    monkeypatch.setattr(series, "SMALL_BYTES", 1)
-    assert series.choose_slots(df) == 1440
-    monkeypatch.setattr(series, "PIECE_ROWS", int(per_minute))
-    assert series.choose_slots(df) == 1
-    monkeypatch.setattr(series, "PIECE_ROWS", int(per_minute) - 1)
-    assert series.choose_slots(df) == "range"
-    got = series.previous_value(df, "event_id", "prev").select("event_id", "prev").toPandas()
-    want = skewed.sort_values(["site_id", "ts", "event_id"])
-    want = want.assign(prev=want.groupby("site_id")["event_id"].shift(1))[["event_id", "prev"]]
-    merged = got.merge(want, on="event_id", suffixes=("", "_want"))
-    np.testing.assert_array_equal(merged["prev"].astype(float), merged["prev_want"].astype(float))
-
-
 def test_previous_value_in_a_zone_with_clock_changes(spark, skewed):
     """Slots must follow the instant, not the wall clock of the session zone."""
     spark.conf.set("spark.sql.session.timeZone", "Europe/Madrid")

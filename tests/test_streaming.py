@@ -54,6 +54,15 @@ def test_many_batches_equal_one(spark, sf, landed):
     fresh = stream.History(work_path(spark, "compacted"))
     stream.compact(spark, store, fresh)
     assert _same(stream.readings(spark, fresh).select(*cols), twin.select(*cols))
+    assert _same(stream.days(spark, fresh).select(*shown), daily.daily_live(twin).select(*shown))
+
+    # streaming on after the compaction loses nothing: three readings arrive again
+    some = work_path(spark, "again")
+    B.table(spark, sf, "events").filter("event_id < 3").coalesce(1).write.parquet(some)
+    stream.status_stream(_stream(spark, sf, some), fresh).awaitTermination()
+    assert _same(stream.readings(spark, fresh).select(*cols), twin.select(*cols))
+    assert _same(stream.days(spark, fresh).select(*shown), daily.daily_live(twin).select(*shown))
+    assert stream.table(spark, fresh, "live", ["site_id"]).count() == live.count()
 
 
 def test_late_readings_can_be_dropped(spark, sf, tmp_path):
