@@ -55,16 +55,28 @@ def temporal_split(
     df: DataFrame, train: float = K.TRAIN_FRACTION, val: float = K.VALIDATION_FRACTION, gap: int = K.SPLIT_GAP,
     site: str | None = None, date: str = "date",
 ) -> DataFrame:
-    """Adds ``split``: train, gap, val, test. Only train and val are parted by a gap."""
-    placed = with_position(df, site, date)
+    """Adds ``split``: train, gap, val, test. Only train and val are parted by a gap.
+
+    The gap is counted in distinct dates, so a validation window of at most ``gap`` days holds no
+    training day however many sites share a date; per site, or for one series, these are its rows.
+    """
     train_end = F.floor(F.col("total") * F.lit(float(train)))
     val_end = F.floor(F.col("total") * F.lit(float(train) + float(val)))
     at = F.col("position")
+    if site is None:
+        every = Window.partitionBy(F.lit(0))  # one row per date
+        dates = date_positions(df, date).withColumns({
+            "_day": F.row_number().over(every.orderBy(date)) - 1,
+            "_train_days": F.count(F.when(at < train_end, True)).over(every),
+        })
+        placed = df.join(dates, date)
+    else:
+        placed = with_position(df, site, date).withColumns({"_day": at, "_train_days": train_end})
     return placed.withColumn(
         "split",
         F.when(at < train_end, "train").when(at >= val_end, "test")
-        .when(at < train_end + F.lit(gap), "gap").otherwise("val"),
-    )
+        .when(F.col("_day") < F.col("_train_days") + F.lit(gap), "gap").otherwise("val"),
+    ).drop("_day", "_train_days")
 
 
 # ---------------------------------------------------------------- scaling

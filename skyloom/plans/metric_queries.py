@@ -127,8 +127,11 @@ def j7_fold_membership(spark, sf):
     return members.groupBy("in_fold", "role", "site_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("w13_split", f"""{_PLACED} SELECT site_id, date, CASE WHEN position < floor(total * 0.7e0) THEN 'train'
-  WHEN position >= floor(total * (0.7e0 + 0.1e0)) THEN 'test' WHEN position < floor(total * 0.7e0) + 14 THEN 'gap' ELSE 'val' END AS split FROM placed""")
+@query("w13_split", f"""{_PLACED}, dated AS (SELECT *, dense_rank() OVER (ORDER BY date) - 1 AS day FROM placed),
+ends AS (SELECT count(DISTINCT date) AS train_days FROM placed WHERE position < floor(total * 0.7e0))
+SELECT site_id, date, CASE WHEN position < floor(total * 0.7e0) THEN 'train'
+  WHEN position >= floor(total * (0.7e0 + 0.1e0)) THEN 'test' WHEN day < train_days + 14 THEN 'gap' ELSE 'val' END AS split
+FROM dated, ends""")
 def w13_split(spark, sf):
     return split.temporal_split(B.ship_days(spark, sf)).select("site_id", "date", "split")
 

@@ -150,6 +150,14 @@ def test_split_has_a_gap_only_before_validation(spark):
     assert [r["split"] for r in split.temporal_split(_series(spark, 10), 0.7, 0.1, gap=0).orderBy("date").collect()] == ["train"] * 7 + ["test"] * 3
 
 
+def test_gap_is_counted_in_dates_when_sites_share_them(spark):
+    rows = [(site, dt.date(2024, 1, 1) + dt.timedelta(days=d)) for site in range(7) for d in range(50)]
+    df = spark.createDataFrame(rows, "site_id int, date date")
+    parts = {r["date"]: r["split"] for r in split.temporal_split(df, 0.5, 0.4, gap=14).collect()}
+    order = [parts[d] for d in sorted(parts)]
+    assert order == ["train"] * 25 + ["gap"] * 14 + ["val"] * 6 + ["test"] * 5
+
+
 def test_split_keeps_a_date_together(spark):
     df = spark.createDataFrame([(s, dt.date(2020, 1, 1) + dt.timedelta(days=d)) for s in range(7) for d in range(10)], "site_id int, date date")
     parts = split.temporal_split(df, gap=0).groupBy("date").agg({"split": "collect_set"}).collect()
