@@ -116,7 +116,11 @@ def add_sequence_features(daily: DataFrame, site: str = "site_id", date: str = "
 
 def sequence_table(daily: DataFrame, site: str = "site_id", date: str = "date") -> DataFrame:
     """Sequence features, flags and next-day target."""
-    featured = add_sequence_features(daily, site, date)
+    return sequence_targets(add_sequence_features(daily, site, date), site, date)
+
+
+def sequence_targets(featured: DataFrame, site: str = "site_id", date: str = "date") -> DataFrame:
+    """M12, second half: flags and next-day target on rows that have their features."""
     flagged = labels.event_flags(
         featured, heat="temp_c", cold="temp_c",
         wind="wind_speed" if "wind_speed" in featured.columns else None,

