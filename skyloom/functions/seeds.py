@@ -32,12 +32,28 @@ def _mix_character(total: Column, char: Column) -> Column:
     )
 
 
+def _mix_digits(total: Column, number: Column, digits: int) -> Column:
+    """Fold in the last ``digits`` decimal digits of a whole number, in one step of arithmetic.
+
+    The hash is a polynomial in 31, so the digits and what stands before them add up with fixed weights.
+    """
+    value = total * F.lit(pow(31, digits, _TWO_32))
+    for k in range(digits):
+        digit = F.floor(number / F.lit(10 ** (digits - 1 - k))).cast("long") % 10
+        value = value + (digit + F.lit(ord("0"))) * F.lit(31 ** (digits - 1 - k))
+    return _wrap_int32(value)
+
+
 def seed(date, hour, city) -> Column:
-    """31-polynomial hash of date digits, hour and city, wrapped to 32 bits, absolute value."""
-    key = F.concat(
-        F.date_format(as_column(date), "yyyyMMdd"), as_column(hour).cast("string"), as_column(city)
-    )
-    hashed = F.aggregate(F.split(key, ""), F.lit(0).cast("long"), _mix_character)
+    """31-polynomial hash of date digits, hour and city, wrapped to 32 bits, absolute value.
+
+    Dates have four-digit years and hours at most two digits; only the city is read by character.
+    """
+    day, at = as_column(date), as_column(hour).cast("long")
+    number = F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)
+    dated = _mix_digits(F.lit(0).cast("long"), number, 8)
+    start = F.when(at < 10, _mix_digits(dated, at, 1)).otherwise(_mix_digits(dated, at, 2))
+    hashed = F.aggregate(F.split(as_column(city), ""), start, _mix_character)
     return F.when(hashed == 0, F.lit(K.DEFAULT_SEED).cast("long")).otherwise(F.abs(hashed))
 
 
