@@ -18,6 +18,7 @@ repeat the smallest page id are all responses; a payload may be larger than a bu
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import struct
 import uuid
@@ -36,6 +37,7 @@ from skyloom.session import durable, work_path
 MIN_REVISIT = 100
 FRAME_BYTES = 1 << 20
 BUNDLE_BYTES = 64 << 20
+FRAMES_A_TASK = 64
 LEVEL = 3
 DATE = "2024-01-01T00:00:00Z"
 
@@ -262,8 +264,10 @@ def read_archives(manifest: DataFrame, payloads: bool = True) -> DataFrame:
                         rows.append(row if payloads else row | {"payload": None})
                 yield pd.DataFrame(rows, columns=RECORD.fieldNames()).astype({"page_id": "Int64", "refers_to": "Int64"})
 
-    frames = manifest.groupBy("bundle", "frame").agg(F.count(F.lit(1)).alias("n")).select("bundle", "frame")
-    return frames.mapInPandas(read, RECORD)
+    frames = manifest.select("bundle", "frame").distinct()
+    # A row here stands for about FRAME_BYTES of records, so tasks are cut by number of rows, not by their bytes.
+    tasks = max(manifest.sparkSession.sparkContext.defaultParallelism, math.ceil(frames.count() / FRAMES_A_TASK))
+    return frames.repartition(tasks, "bundle", "frame").mapInPandas(read, RECORD)
 
 
 def archive_folder(spark: SparkSession) -> str:
