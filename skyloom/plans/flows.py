@@ -1,14 +1,10 @@
-"""Composed flows: batch features, live scoring, archive (the operators end to end)."""
+"""Composed flows: batch features and encodings (the operators end to end)."""
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from skyloom.functions.calendar import asset_path
-from skyloom.ml.scoring import predict_daily
-from skyloom.operators import daily, encode, features, history, series
+from skyloom.operators import daily, encode, features, series
 
 
 def physical_series(readings: DataFrame, slots: int = series.SLOT_MINUTES, clip_on: str = "result") -> DataFrame:
@@ -40,16 +36,3 @@ def encoded(obs: DataFrame) -> DataFrame:
     """Flat readings with visual parameters and dominance."""
     return encode.dominance(encode.visual_params(obs))
 
-
-def archive(
-    obs: DataFrame, keep: list[str], prefix: str, model: PipelineModel | None = None, cols: list[str] | None = None,
-    live: DataFrame | None = None, site: str = "site_id",
-) -> DataFrame:
-    """Archive entries of readings, with the risk of their site's live feature row if a model is given."""
-    shown = encoded(obs).withColumn("image_path", asset_path("city", "date", "hour", prefix))
-    if model is None:
-        shown = shown.withColumns({
-            "risk_score": F.lit(0.0), "event_type": F.lit("unknown"), "ml_ready": F.lit(False)})
-    else:
-        shown = shown.join(predict_daily(model, live, cols, [site]), site, "left")
-    return history.archive_entries(shown, keep)

@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from skyloom import constants as K
 from skyloom.ml import split
-from skyloom.operators import evaluate
+from skyloom.operators import evaluate, history
 from skyloom.plans import bridge as B
 from skyloom.plans.registry import query, rounded
+from skyloom.session import work_path
+from skyloom.sources import tables
 
 _DESCRIBED = ["amount", "peak"]
 
@@ -173,9 +175,48 @@ def m13_compare(spark, sf):
         ["tp", "fp", "fn", "fbeta"]))
 
 
-@query("p16_align", """SELECT event_id, value, 0e0 AS absent, CAST(user_id AS DOUBLE) AS user_id FROM events""")
+@query("p16_align", """SELECT event_id, value, 0e0 AS absent, CAST(user_id AS DOUBLE) AS user_id,
+  'value,user_id' AS present, 'absent' AS missing FROM events""")
 def p16_align(spark, sf):
-    """The ordered model input, an absent feature filled with 0."""
+    """The ordered model input, an absent feature filled with 0, and which columns were there."""
     events = B.table(spark, sf, "events")
-    split.require_columns(events, ["value", "absent", "user_id"], strict=False)
-    return split.align_columns(events, ["value", "absent", "user_id"], keep=["event_id"])
+    present, missing = split.require_columns(events, ["value", "absent", "user_id"], strict=False)
+    aligned = split.align_columns(events, ["value", "absent", "user_id"], keep=["event_id"])
+    return aligned.withColumns({"present": F.lit(",".join(present)), "missing": F.lit(",".join(missing))})
+
+
+@query("s10_metrics_record", """WITH folds AS (SELECT CAST(user_id % 5 + 1 AS INTEGER) AS fold,
+    round(avg(value / (value + 40e0)), 4) AS f1, round(avg(1e0 / (1e0 + value)), 4) AS auc FROM events GROUP BY 1)
+SELECT 'forest' AS model, round((SELECT avg(f1) FROM folds), 6) AS mean_f1, round((SELECT avg(auc) FROM folds), 6) AS mean_auc,
+  fold, f1, auc, (SELECT count(*) FROM events) AS n_samples FROM folds""")
+def s10_metrics_record(spark, sf):
+    """A nested metrics record written as JSON, read back and taken apart."""
+    events = B.table(spark, sf, "events")
+    v = F.col("value")
+    folds = events.groupBy((F.col("user_id") % 5 + 1).cast("int").alias("fold")).agg(
+        F.round(F.avg(v / (v + 40.0)), 4).alias("f1"), F.round(F.avg(F.lit(1.0) / (v + 1.0)), 4).alias("auc"))
+    top = events.groupBy(F.col("event_type").alias("feature")).agg(F.avg("value").alias("importance"))
+    summary = events.agg(
+        F.lit(39).alias("n_features"), F.count(F.lit(1)).alias("n_samples"), F.avg((v > 50).cast("int")).alias("event_rate"))
+    path = work_path(spark, "metrics")
+    tables.write_metrics(tables.metrics_record(folds, top, summary, "forest"), path)
+    record = tables.read_metrics(spark, path)
+    return rounded(record.select("model", "mean_f1", "mean_auc", F.inline("folds"), "n_samples").select(
+        "model", "mean_f1", "mean_auc", "fold", "f1", "auc", F.col("n_samples").cast("long").alias("n_samples")))
+
+
+@query("u2_union_drift", """SELECT event_id, ts, CASE WHEN event_type <> 'view' THEN value END AS value,
+  CASE WHEN event_type <> 'purchase' THEN user_id END AS user_id FROM events""")
+def u2_union_drift(spark, sf):
+    """Files whose columns drifted, one per event type: one lacks the value, one the user."""
+    events = B.table(spark, sf, "events")
+    views, purchases = F.col("event_type") == "view", F.col("event_type") == "purchase"
+    return tables.union_all([
+        events.where(~views & ~purchases).select("event_id", "ts", "value", "user_id"),
+        events.where(views).select("user_id", "event_id", "ts"), events.where(purchases).select("ts", "value", "event_id")])
+
+
+@query("k1_in_order", "SELECT event_id, user_id, ts FROM events")
+def k1_in_order(spark, sf):
+    """K1: a range-partitioned sort by site and time."""
+    return history.in_order(B.table(spark, sf, "events").select("event_id", "user_id", "ts"), "user_id", "ts", "event_id")

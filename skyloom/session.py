@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 # The JVM never compiles a method of more than 8000 bytes of bytecode, so a whole stage fused into
 # one larger method runs interpreted. At this limit Spark instead generates one small function per
-# expression for such stages (wide encodings and feature tables), several times faster.
+# expression for such stages (wide encodings and feature tables); simple queries gain nothing from it.
 TUNING = {"spark.sql.codegen.hugeMethodLimit": "8000"}
 
 
