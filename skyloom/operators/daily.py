@@ -81,9 +81,13 @@ def coverage(df: DataFrame, expected: int = K.READINGS_PER_DAY, site: str = "sit
     return counted.withColumn("missing", F.greatest(F.lit(0), F.lit(expected) - F.col("n_readings")))
 
 
-def history_status(raw: DataFrame, today, site: str = "site_id", date: str = "date") -> DataFrame:
+def history_status(
+    raw: DataFrame, today, site: str = "site_id", date: str = "date", sites: DataFrame | None = None,
+) -> DataFrame:
     """Days on record, readings today, readiness and days still missing, per site.
 
+    ``sites`` lists all sites: those without a reading are ``empty``. Without it only sites that have readings appear.
+
     Days are counted from a per-day partial aggregate, so a site with very many readings costs no
     more in the second step than one with few.
     """
@@ -92,6 +96,8 @@ def history_status(raw: DataFrame, today, site: str = "site_id", date: str = "da
         F.count(F.lit(1)).alias("days"),
         F.sum(F.when(F.col(date) == F.lit(today), F.col("_n")).otherwise(F.lit(0))).alias("readings_today"),
     )
+    if sites is not None:
+        status = sites.select(site).distinct().join(status, site, "left").fillna(0, ["days", "readings_today"])
     return status.withColumns(readiness("days"))
 
 

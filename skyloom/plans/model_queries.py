@@ -12,7 +12,7 @@ from skyloom.operators import daily, features, history, windows
 from skyloom.plans import bridge as B
 from skyloom.plans import flows
 from skyloom.plans.daily_queries import _M11, _M12
-from skyloom.plans.registry import query, rounded
+from skyloom.plans.registry import query
 from skyloom.session import durable, work_path
 from skyloom.streaming import history as stream
 
@@ -112,7 +112,9 @@ def m9_fallback_scores(spark, sf):
     return scored.select("site_id", "source", _share("risk_score").alias("risk_ok"), "ready")
 
 
-@query("t5_stream_archive")
+@query("t5_stream_archive", f"""WITH {B.DOMINANT}, last AS (SELECT * FROM dominant
+  QUALIFY row_number() OVER (PARTITION BY site_id, date, hour ORDER BY ts DESC, event_id DESC) = 1)
+SELECT site_id, date, hour, dominant, true AS risk_ok, true AS ml_ready FROM last""")
 def t5_stream_archive(spark, sf):
     """Readings to history, live features, risk and archive entries in one streaming job."""
     model = _model(_features(spark, sf))
@@ -123,9 +125,9 @@ def t5_stream_archive(spark, sf):
 
     def entries(readings, risk):
         shown = flows.encoded(readings).withColumn("image_path", asset_path("city", "date", "hour", "sky"))
-        return history.archive_entries(shown.join(risk, "site_id", "left"), ["site_id"])
+        return history.archive_entries(shown.join(risk, ["site_id", "date"], "left"), ["site_id"])
 
     stream.score_stream(landed, store, model, COLS, entries).awaitTermination()
     current = stream.table(spark, store, "archive", ["site_id", "date", "hour"])
-    return rounded(history.newest_first(current).select(
-        "site_id", "date", "hour", "dominant", "risk_score", "event_type", "ml_ready"))
+    return history.newest_first(current).select(
+        "site_id", "date", "hour", "dominant", _share("risk_score").alias("risk_ok"), "ml_ready")

@@ -71,15 +71,29 @@ def _pruned(df: DataFrame, partition: str, values: list | None) -> DataFrame:
     return df if values is None else df.filter(F.col(partition).isin(values))
 
 
-def readings(spark: SparkSession, store: History, dates: list | None = None) -> DataFrame:
-    """Current readings: the last write per key; ``dates`` prunes to those partitions."""
+def readings(
+    spark: SparkSession, store: History, dates: list | None = None, touched: DataFrame | None = None,
+) -> DataFrame:
+    """Current readings: the last write per key; ``dates`` prunes to those partitions.
+
+    ``touched`` (site_id, date) keeps the rows of these days only, before writes are compared.
+    """
     log = _pruned(spark.read.parquet(store.folder("raw")), "date", dates)
+    if touched is not None:
+        log = log.join(touched, ["site_id", "date"], "left_semi")
     return history.latest(log, list(store.keys), list(store.seq)).drop("batch_id")
 
 
-def days(spark: SparkSession, store: History, buckets: list | None = None) -> DataFrame:
-    """Current daily rows: the newest batch's row per site and date; ``buckets`` prunes partitions."""
+def days(
+    spark: SparkSession, store: History, buckets: list | None = None, sites: DataFrame | None = None,
+) -> DataFrame:
+    """Current daily rows: the newest batch's row per site and date; ``buckets`` prunes partitions.
+
+    ``sites`` (site_id) keeps the rows of these sites only, before writes are compared.
+    """
     log = _pruned(spark.read.parquet(store.folder("daily")), "bucket", buckets)
+    if sites is not None:
+        log = log.join(sites, "site_id", "left_semi")
     return history.latest(log, ["site_id", "date"], ["batch_id"]).drop("batch_id", "bucket")
 
 
@@ -107,15 +121,15 @@ def upsert_batch(batch: DataFrame, batch_id: int, store: History) -> None:
 def refresh_days(batch: DataFrame, batch_id: int, store: History) -> None:
     """Recompute the (site, date) pairs the batch touched, whatever their age (T6 ``recompute``)."""
     spark = batch.sparkSession
-    current = readings(spark, store, touched_dates(batch))
+    touched = batch.select("site_id", "date").distinct()
+    current = readings(spark, store, touched_dates(batch), touched)
     _write_sites(daily.daily_live(current, touched=batch), batch_id, store, "daily")
 
 
 def refresh_status(batch: DataFrame, batch_id: int, store: History) -> None:
     """T4: live features and readiness of the sites the batch touched."""
     spark = batch.sparkSession
-    sites = batch.select("site_id").distinct()
-    known = days(spark, store, touched_buckets(batch, store)).join(sites, "site_id", "left_semi")
+    known = days(spark, store, touched_buckets(batch, store), batch.select("site_id").distinct())
     counts = known.groupBy("site_id").agg(F.count(F.lit(1)).alias("days"))
     live = features.live_features(known).join(counts.withColumns(daily.readiness("days")), "site_id")
     _write_sites(live, batch_id, store, "live")
@@ -125,13 +139,17 @@ def score_batch(
     batch: DataFrame, batch_id: int, store: History, model: PipelineModel, cols: list[str],
     entries: Callable[[DataFrame, DataFrame], DataFrame],
 ) -> None:
-    """T5: score the live rows of this batch and write its archive entries.
+    """T5: score the days this batch touched and write its archive entries.
 
-    ``entries(readings, risk)`` turns the batch's readings and per-site risk into archive rows.
+    Every reading gets the risk of its own site and date, from the history up to that date, so the archive does
+    not depend on how readings fall into batches. ``entries(readings, risk)`` turns the batch's readings and the
+    risk per site and date into archive rows.
     """
     spark = batch.sparkSession
-    live = spark.read.parquet(store.folder("live")).filter(F.col("batch_id") == batch_id)
-    risk = predict_daily(model, live, cols, ["site_id"])
+    known = days(spark, store, touched_buckets(batch, store), batch.select("site_id").distinct())
+    touched = batch.select("site_id", "date").distinct()
+    as_of = features.live_history(known).join(touched, ["site_id", "date"], "left_semi")
+    risk = predict_daily(model, as_of, cols, ["site_id", "date"])
     last = history.latest(batch, list(store.keys), list(store.seq))
     _write(entries(last, risk), batch_id, store.folder("archive"))
 

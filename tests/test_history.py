@@ -60,6 +60,14 @@ def test_status(raw):
     assert row["text"] == "2 días (2/3 lecturas hoy) — faltan 5 para rolling real"
 
 
+def test_sites_without_readings_are_empty(spark, raw):
+    sites = spark.createDataFrame([(1,), (2,)], "site_id int")
+    rows = daily.history_status(raw, dt.date(2031, 3, 9), sites=sites).withColumn("text", daily.status_text()).collect()
+    found = {r["site_id"]: (r["days"], r["status"], r["text"]) for r in rows}
+    assert found[1][:2] == (2, "partial_rolling")
+    assert found[2] == (0, "empty", "sin días aún (0/3 lecturas hoy)")
+
+
 def test_upsert_prefers_new_rows_and_append_replaces_keys(spark):
     schema = "site_id int, date date, hour int, seq int, v string"
     d = dt.date(2024, 1, 1)

@@ -39,10 +39,3 @@ def test_cross_validation(spark, sf):
     rows = entry.queries()["m3_cv"](spark, sf).collect()
     assert sorted(r["fold"] for r in rows) == [1, 2, 3, 4, 5]
     assert all(0 <= r[c] <= 1 for r in rows for c in ("f1", "auc", "auc_pr"))
-
-
-def test_streaming_archive_has_one_row_per_hour(spark, sf):
-    rows = entry.queries()["t5_stream_archive"](spark, sf).collect()
-    keys = [(r["site_id"], r["date"], r["hour"]) for r in rows]
-    assert len(keys) == len(set(keys))
-    assert all(r["ml_ready"] and 0 <= r["risk_score"] <= 1 for r in rows)
