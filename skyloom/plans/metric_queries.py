@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from skyloom import constants as K
 from skyloom.ml import split
 from skyloom.operators import evaluate, history
 from skyloom.plans import bridge as B
