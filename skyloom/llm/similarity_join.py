@@ -276,6 +276,7 @@ def _verify(group, rows: pd.DataFrame) -> pd.DataFrame | None:
     for key, others in zip(lists["key"], lists["others"]):
         a = at.get(key)
         if a is not None:
+            others = b"".join(others)
             others_ = (at.get(others[k:k + 16]) for k in range(0, len(others), 16))
             wanted.setdefault(a, []).extend(
                 b for b in others_ if b is not None and sorted((tiles[a], tiles[b])) == [i, j])
@@ -326,9 +327,11 @@ def verified(docs: DataFrame, sets: DataFrame, found: DataFrame, id_col: str, te
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(
         wanted.select("rep").distinct(), F.col("id").eqNullSafe(F.col("rep")), "left_semi")
     data = texts.select(each(_shingled, SHINGLED)(F.col("text")).alias("s")).select("s.*")
-    own = wanted.join(data, "key").select("key", "comp", "size", "n", "data", F.lit(None).cast("binary").alias("others"))
-    lists = found.where("others IS NOT NULL").join(grouped, "key").select(
-        "key", "comp", "size", F.lit(0).cast("long").alias("n"), F.lit(None).cast("binary").alias("data"), "others")
+    none = F.lit(None)
+    own = wanted.join(data, "key").select("key", "comp", "size", "n", "data", none.cast("array<binary>").alias("others"))
+    # One row per member with all its candidates; each pair is in one list only, so a list is as long as its group at most.
+    lists = found.where("others IS NOT NULL").groupBy("key").agg(F.collect_list("others").alias("others")).join(
+        grouped, "key").select("key", "comp", "size", F.lit(0).cast("long").alias("n"), none.cast("binary").alias("data"), "others")
     tiles = tiled(own.unionAll(lists), "comp", "size").select("comp", "i", "j", "t", "key", "n", "data", "others")
     return in_groups(tiles, ["comp", "i", "j"], _verify, VERIFIED)
 
