@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import cache
 
 import numpy as np
@@ -81,3 +82,15 @@ def kept_rows(docs: DataFrame, text_col: str, column: Callable[[Column], Column]
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     judged = row.select("row", column(F.col(f"row.`{text_col}`")).alias("m"))
     return judged.where(test).select("row.*")
+
+
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of at most ``rows`` rows for what runs inside; the session's setting comes back afterwards."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyloom.llm.common import byte_words, each, fields, query, table
+from skyloom.llm.common import batches_of, byte_words, each, fields, query, table
 from skyloom.llm.components import components
 from skyloom.session import durable
 
@@ -40,7 +40,8 @@ ROUND = 32
 TOLERANCE = 1e-6
 TILE = 512
 SEED = 11
-KEPT_WORDS = 500_000
+KEPT_WORDS = 200_000
+BATCH_ROWS = 1_000  # texts, signatures or sets that a worker holds at once besides its group
 MIX = np.uint64(0x9E3779B97F4A7C15)
 SIGNATURE = fields(key=T.BinaryType(), sig=T.BinaryType())
 SHINGLED = fields(key=T.BinaryType(), data=T.BinaryType())
@@ -341,16 +342,17 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     ``n_links`` is the number of other rows at or above the threshold; ``class_key`` is null for texts without shingles.
     """
-    rows = durable(
-        docs.select(F.col(id_col).alias("id"), F.unhex(F.md5(F.col(text_col).cast("binary"))).alias("text_md5"),
-                    each(_signed, SIGNATURE)(F.col(text_col)).alias("s")).select("id", "text_md5", "s.*"), "signed",
-    )
-    sets = durable(
-        rows.where("key IS NOT NULL").groupBy("key").agg(
-            F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"), F.first("sig").alias("sig")), "sets",
-    )
-    found = durable(candidates(sets), "candidates")
-    linked = durable(verified(docs, sets, found, id_col, text_col), "verified")
+    with batches_of(docs.sparkSession, BATCH_ROWS):
+        rows = durable(
+            docs.select(F.col(id_col).alias("id"), F.unhex(F.md5(F.col(text_col).cast("binary"))).alias("text_md5"),
+                        each(_signed, SIGNATURE)(F.col(text_col)).alias("s")).select("id", "text_md5", "s.*"), "signed",
+        )
+        sets = durable(
+            rows.where("key IS NOT NULL").groupBy("key").agg(
+                F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"), F.first("sig").alias("sig")), "sets",
+        )
+        found = durable(candidates(sets), "candidates")
+        linked = durable(verified(docs, sets, found, id_col, text_col), "verified")
     roots = components(linked, "key", "root")
     named = roots.join(sets.select(F.col("key").alias("node"), "rep"), "node")
     least = named.groupBy("root").agg(F.min("rep").alias("class_id"))
