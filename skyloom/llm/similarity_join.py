@@ -397,6 +397,22 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return once.unionAll(many).unionAll(row.where(blank)).select("row.*")
 
 
-@query("op7_jaccard_join")
+ORACLE = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(generate_series(1, len(words) - 4), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 5 * k >= 4 * (x.n + y.n - k)),
+r(doc_id, root) AS (SELECT doc_id, doc_id FROM documents UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.doc_id),
+c AS (SELECT doc_id, min(root) AS class_id FROM r GROUP BY doc_id),
+k AS (SELECT a AS doc_id, count(*) AS n_links FROM l GROUP BY a)
+SELECT doc_id, class_id, coalesce(n_links, 0) AS n_links FROM c LEFT JOIN k USING (doc_id)
+"""
+
+
+@query("op7_jaccard_join", ORACLE)
 def op7_jaccard_join(spark, sf_dir):
     return similar(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
