@@ -111,7 +111,7 @@ class Matcher:
                 self.short.setdefault(item, []).append(number)
                 continue
             for k, (_, piece) in enumerate(parts):
-                self.automaton.add_word(piece, self.automaton.get(piece, ()) + ((number, k),))
+                self.automaton.add_word(piece, self.automaton.get(piece, ()) + ((number, k, *self.beside(number, k)),))
         if len(self.automaton):
             self.automaton.make_automaton()
 
@@ -123,18 +123,39 @@ class Matcher:
             found = self.patterns[number, low, high] = Pattern(self.items[number][1][cuts[low]:cuts[high]])
         return found
 
+    def groups(self, number: int, piece: int) -> list[tuple[int, int]]:
+        """The groups of pieces a piece belongs to, from the whole item down to the smallest."""
+        found, low, high = [], 0, len(self.cuts[number]) - 1
+        while high - low > 1:
+            found.append((low, high))
+            middle = (low + high) // 2
+            low, high = (low, middle) if piece < middle else (middle, high)
+        return found
+
+    def beside(self, number: int, piece: int) -> tuple[int, int, tuple[str, ...]]:
+        """What a hit of a piece needs beside it: one of these strings, from and to these places of the item.
+
+        The smallest group of p pieces may have p - 1 errors, all of them in its other pieces; cut into p parts, those
+        have one part without an error.
+        """
+        groups = self.groups(number, piece)
+        if not groups:
+            return 0, 0, ()
+        (low, high), cuts, item = groups[-1], self.cuts[number], self.items[number][1]
+        middle = (low + high) // 2
+        a, b = (middle, high) if piece < middle else (low, middle)
+        if b - a + 1 != high - low:  # the piece shares its half with others: leave it to the verification
+            return 0, 0, ()
+        errors, other = high - low - 1, item[cuts[a]:cuts[b]]
+        return cuts[a] - errors, cuts[b] + errors, tuple(part for _, part in pieces(other, errors))
+
     def climbs(self, plain: str, number: int, piece: int, start: int) -> bool:
         """Does every group of pieces around a hit, below the whole item, keep within its share of errors?
 
         ``start`` is where the item would begin if nothing before the piece were inserted or deleted.
         """
-        cuts, path_ = self.cuts[number], []
-        low, high = 0, len(cuts) - 1
-        while high - low > 1:
-            path_.append((low, high))
-            middle = (low + high) // 2
-            low, high = (low, middle) if piece < middle else (middle, high)
-        for low, high in reversed(path_[1:]):
+        cuts = self.cuts[number]
+        for low, high in reversed(self.groups(number, piece)[1:]):
             errors = high - low - 1
             # The piece itself is in place; its group begins and ends within ``errors`` of where it should.
             window = plain[max(0, start + cuts[low] - errors):start + cuts[high] + errors]
@@ -152,9 +173,12 @@ class Matcher:
         starts: dict[int, set[int]] = {}
         if len(self.automaton):
             for end, owners in self.automaton.iter(plain):
-                for number, piece in owners:
-                    cuts = self.cuts[number]
-                    start = end + 1 - cuts[piece + 1]
+                for number, piece, low, high, parts in owners:
+                    start = end + 1 - self.cuts[number][piece + 1]
+                    if parts:
+                        a, b = max(0, start + low), max(0, start + high)
+                        if all(plain.find(part, a, b) < 0 for part in parts):
+                            continue
                     if self.climbs(plain, number, piece, start):
                         starts.setdefault(number, set()).add(start)
         found = [(self.items[n][0], 0, self.budgets[n], plain) for n in self.short.get(plain, ())]
@@ -201,7 +225,7 @@ def _block_column(matcher: Matcher):
     def search(texts: pd.Series) -> pd.Series:
         return pd.Series([[dict(zip(names, hit)) for hit in matcher.search(t)] for t in texts], dtype=object)
 
-    return pandas_udf(search, T.ArrayType(HIT))
+    return pandas_udf(search, T.ArrayType(HIT)).asNondeterministic()  # never run again for a filter on its result
 
 
 def hits_column(items: DataFrame, error_rate: float = ERROR_RATE):
