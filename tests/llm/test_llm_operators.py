@@ -404,6 +404,19 @@ def test_scores_equal_brute_force(docs, texts, odd, nothing):
     assert all(r["score"] == r["base_score"] == 0 and r["train_tokens"] == 0 for r in fresh)
 
 
+def test_scores_do_not_depend_on_the_core(docs):
+    """The share bounds what tasks are sent, not which n-grams count."""
+    whole, small = language_model.fit(docs), language_model.fit(docs, share=1e-3)
+    assert small[3][0].core > whole[3][0].core == language_model.LEAST
+    assert all(dict(a) == dict(b) for a, b in zip(whole[3], small[3]))
+    a, b = ({r["doc_id"]: r for r in language_model.score(docs, m).collect()} for m in (whole, small))
+    assert a.keys() == b.keys()
+    for key, r in a.items():
+        assert b[key]["n_known"] == r["n_known"]
+        assert b[key]["base_score"] == pytest.approx(r["base_score"], rel=1e-9)
+        assert b[key]["score"] == pytest.approx(r["score"], rel=1e-9)
+
+
 # ------------------------------------------------------------------ mixing
 def water(sizes, order):
     """Targets by definition: clamp and share again until nothing is above its limit."""
