@@ -90,12 +90,13 @@ def measure(text: str | None) -> tuple[int, ...]:
         return (0, 0, n_symbols) + (0,) * (len(MEASURES) - 3)
     lines = [line for line in text.split("\n") if line.encode().split()]
     points = code_points(text)
-    blanks = int(((points == 32) | ((points >= 9) & (points <= 13))).sum())
-    longest = max(words, key=len)
+    blank = (points == 32) | ((points >= 9) & (points <= 13))
+    blanks = int(blank.sum())
+    longest = int(np.diff(np.flatnonzero(np.concatenate(([True], blank, [True])))).max()) - 1
     return (
         len(words), len(points) - blanks, sum(map(text.count, SYMBOLS)), len(lines) - len(set(lines)),
         repeat_words(words), len(lines), int(category_table("L")[points].sum()),
-        int(category_table("Lu")[points].sum()), len(longest.decode()),
+        int(category_table("Lu")[points].sum()), longest,
     )
 
 

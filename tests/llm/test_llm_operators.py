@@ -65,6 +65,13 @@ def test_ledger_measures():
     assert got["word_chars"] == 12 and got["n_lines"] == 3
 
 
+def test_longest_word_counts_code_points():
+    """A word of many bytes does not hide one of more letters."""
+    text = "字" * 1000 + " " + "x" * 2500 + " y"
+    assert quality_rules.measure(text)[quality_rules.MEASURES.index("longest_word")] == 2500
+    assert quality_rules.measure("é" * 7 + "\n\n")[quality_rules.MEASURES.index("longest_word")] == 7
+
+
 def test_ledger_odd_rows(odd, nothing):
     rows = quality_rules.ledger(clash(odd)).collect()
     assert len(rows) == 11
