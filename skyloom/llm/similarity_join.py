@@ -8,8 +8,8 @@ the threshold of 0.8 meets in no bucket with probability 3e-6, and less above it
 
 Pairs are never sent as rows. A crowded bucket is cut into tiles of at most ``TILE`` members; a task compares two tiles
 and sends one row per member, with the list of those it may be linked to and a spanning edge. Candidates that hang
-together are verified in one group (or in tiles of one), which sends counts of links and spanning edges, again one
-row per member. Each pair counts in the first band it shares only.
+together are verified in one group (or in tiles of one, each of which is sent the candidates it compares and no others),
+which sends counts of links and spanning edges, again one row per member. Each pair counts in the first band it shares only.
 
 Defined results: words are as in WORD, case counts; a text of fewer than five words is one shingle; a null text or one
 without words has no shingles, is linked to nothing, and is its own class; repeated rows are copies of each other;
@@ -255,16 +255,48 @@ def _compare_tiles(group, rows: pd.DataFrame) -> pd.DataFrame | None:
     })
 
 
+LISTED = "key binary, comp binary, i int, j int, t int, others binary"
+
+
+def _by_tile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Each list cut by the tile of the partners; a part goes to the one pair of tiles that compares them."""
+    for batch in batches:
+        out = []
+        for key, others, comp, n, t in batch[["key", "others", "comp", "n", "t"]].itertuples(index=False):
+            parts: dict[int, list[bytes]] = {}
+            if n == 1:
+                parts[0] = [others]
+            else:
+                for k in range(0, len(others), 16):
+                    other = others[k:k + 16]
+                    # As in ``tiled``: Spark's xxhash64 is XXH64 with seed 42, as a signed number.
+                    value = xxhash.xxh64_intdigest(other, 42)
+                    parts.setdefault((value - (value >> 63 << 64)) % n, []).append(other)
+            out += [(key, comp, min(t, p), max(t, p), t, b"".join(part)) for p, part in parts.items()]
+        yield pd.DataFrame(out, columns=["key", "comp", "i", "j", "t", "others"])
+
+
+def listed(found: DataFrame, grouped: DataFrame) -> DataFrame:
+    """``key, comp, i, j, t, others``: the candidates of a member for each pair of tiles, each pair of members once.
+
+    Such a list names members of one tile only.
+    """
+    n = F.ceil(F.col("size") / TILE).cast("int")
+    lists = found.where("others IS NOT NULL").select("key", "others").join(grouped, "key").select(
+        "key", "others", "comp", n.alias("n"), F.pmod(F.xxhash64("key"), n).cast("int").alias("t"))
+    return lists.mapInPandas(_by_tile, LISTED).groupBy("key", "comp", "i", "j", "t").agg(
+        F.collect_list("others").alias("others"))
+
+
 VERIFIED = "key binary, root binary, links long"
 
 
 def _verify(group, rows: pd.DataFrame) -> pd.DataFrame | None:
-    _, i, j = group
     sets = rows[rows["data"].notna()].drop_duplicates("key")
     lists = rows[rows["others"].notna()]
     if len(sets) < 2 or not len(lists):
         return None
-    keys, tiles, copies = sets["key"].tolist(), sets["t"].to_numpy(), sets["n"].to_numpy()
+    keys, copies = sets["key"].tolist(), sets["n"].to_numpy()
     at = {key: k for k, key in enumerate(keys)}
     arrays = [np.frombuffer(d, dtype=np.uint64) for d in sets["data"]]
     sizes = np.array([len(x) for x in arrays])
@@ -279,8 +311,7 @@ def _verify(group, rows: pd.DataFrame) -> pd.DataFrame | None:
         if a is not None:
             others = b"".join(others)
             others_ = (at.get(others[k:k + 16]) for k in range(0, len(others), 16))
-            wanted.setdefault(a, []).extend(
-                b for b in others_ if b is not None and sorted((tiles[a], tiles[b])) == [i, j])
+            wanted.setdefault(a, []).extend(b for b in others_ if b is not None)
     for a, others in wanted.items():
         mark[parts[a]] = True
         for start in range(0, len(others), 256):
@@ -330,10 +361,9 @@ def verified(docs: DataFrame, sets: DataFrame, found: DataFrame, id_col: str, te
     data = texts.select(each(_shingled, SHINGLED)(F.col("text")).alias("s")).select("s.*")
     none = F.lit(None)
     own = wanted.join(data, "key").select("key", "comp", "size", "n", "data", none.cast("array<binary>").alias("others"))
-    # One row per member with all its candidates; each pair is in one list only, so a list is as long as its group at most.
-    lists = found.where("others IS NOT NULL").groupBy("key").agg(F.collect_list("others").alias("others")).join(
-        grouped, "key").select("key", "comp", "size", F.lit(0).cast("long").alias("n"), none.cast("binary").alias("data"), "others")
-    tiles = tiled(own.unionAll(lists), "comp", "size").select("comp", "i", "j", "t", "key", "n", "data", "others")
+    lists = listed(found, grouped).select(
+        "comp", "i", "j", "t", "key", F.lit(0).cast("long").alias("n"), none.cast("binary").alias("data"), "others")
+    tiles = tiled(own, "comp", "size").select("comp", "i", "j", "t", "key", "n", "data", "others").unionAll(lists)
     return in_groups(tiles, ["comp", "i", "j"], _verify, VERIFIED)
 
 

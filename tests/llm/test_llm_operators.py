@@ -527,6 +527,23 @@ def test_join_of_crowded_group_in_tiles(spark, monkeypatch):
     check_join(spark, texts)
 
 
+def test_tiles_get_their_own_candidates_only(spark, monkeypatch):
+    """Every candidate pair of a crowded group is sent to one pair of tiles, once."""
+    monkeypatch.setattr(similarity_join, "TILE", 16)
+    keys = [hashlib.md5(str(k).encode()).digest() for k in range(100)]
+    found = spark.createDataFrame(
+        [(k, keys[0], b"".join(keys[n + 1:])) for n, k in enumerate(keys[:-1])], similarity_join.CANDIDATE)
+    grouped = spark.createDataFrame([(k, keys[0], 100) for k in keys], "key binary, comp binary, size long")
+    tile = {bytes(r["key"]): r["t"] for r in similarity_join.tiled(grouped, "comp", "size").collect()}
+    pairs = []
+    for r in similarity_join.listed(found, grouped).collect():
+        others = b"".join(map(bytes, r["others"]))
+        for k in range(0, len(others), 16):
+            pairs.append((bytes(r["key"]), others[k:k + 16]))
+            assert sorted(tile[key] for key in pairs[-1]) == [r["i"], r["j"]]
+    assert len(pairs) == len(set(pairs)) == 4950
+
+
 def test_posterior_is_a_binomial_tail():
     assert similarity_join.reach_probability(32, 32, 0.8) == pytest.approx(1 - 0.8**33)
     assert similarity_join.reach_probability(0, 1, 0.5) == pytest.approx(0.25)
