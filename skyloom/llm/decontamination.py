@@ -10,9 +10,12 @@ pieces first, then with twice as many, and few false hits get as far as the whol
 The test items are a stated query set: they are read in blocks of at most ``BLOCK_CHARS`` characters, each block is
 sent to the tasks once, and every document meets every block. Documents are never shuffled.
 
-Defined results: null and empty texts and items match nothing; items of fewer than ``MIN_WORDS`` words do not
-identify a passage and match only a document that is the item as a whole; texts are read whole; repeated rows and
-repeated items each give their own result; ties go to the leftmost end.
+An item is short if it has fewer than ``MIN_WORDS`` words and fewer than ``MIN_LETTERS`` letters and digits, so a passage
+without blanks is measured by its letters. Short items are searched alike, with their own error budget, zero below ten
+characters; but what they match begins and ends between words. In scripts without blanks every place is between words.
+
+Defined results: null and empty texts and items match nothing; texts are read whole; repeated rows and repeated items each
+give their own result; ties go to the leftmost end.
 """
 
 from __future__ import annotations
@@ -32,9 +35,13 @@ from skyloom.llm.common import fields, query, table
 
 ERROR_RATE = 0.1
 MIN_WORDS = 8
+MIN_LETTERS = 32
 BLOCK_CHARS = 4_000_000
 HIT = fields(item_id=T.LongType(), distance=T.IntegerType(), n_errors_allowed=T.IntegerType(), matched=T.StringType())
 NOT_WORD = re.compile(r"[\W_]+")
+#: Letters of scripts without blanks: Thai, Lao, Tibetan, Burmese, Khmer, kana, Bopomofo and Han.
+UNSPACED = re.compile("[\u0e00-\u109f\u1780-\u17ff\u3005-\u3007\u3041-\u312f\u31a0-\u31bf\u31f0-\u31ff"
+                      "\u3400-\u9fff\uf900-\ufaff\uff66-\uff9d\U00020000-\U0003ffff]")
 
 
 def normal(text: str | None) -> str:
@@ -51,6 +58,26 @@ def pieces(item: str, errors: int) -> list[tuple[int, str]]:
     return [(a, item[a:b]) for a, b in zip(cuts, cuts[1:])]
 
 
+def is_short(item: str) -> bool:
+    return item.count(" ") + 1 < MIN_WORDS and len(item) - item.count(" ") < MIN_LETTERS
+
+
+def between_words(plain: str, at: int) -> bool:
+    """May a word begin or end at this place of a text in normal form?"""
+    beside = plain[max(0, at - 1):at + 1]
+    return at in (0, len(plain)) or " " in beside or UNSPACED.search(beside) is not None
+
+
+def edits(a: str, b: str) -> int:
+    """Edit distance of two whole texts."""
+    row = list(range(len(b) + 1))
+    for k, x in enumerate(a, 1):
+        before, row = row, [k]
+        for j, y in enumerate(b):
+            row.append(min(before[j] + (x != y), before[j + 1] + 1, row[j] + 1))
+    return row[-1]
+
+
 class Pattern:
     """Bit vectors of an item for Myers' distance; Python's whole numbers hold a pattern of any length."""
 
@@ -100,16 +127,13 @@ class Matcher:
 
     def build(self) -> None:
         self.automaton = ahocorasick.Automaton()
-        self.short: dict[str, list[int]] = {}
         self.budgets, self.cuts, self.patterns = [], [], {}
+        self.short = {number for number, (_, item) in enumerate(self.items) if is_short(item)}
         for number, (_, item) in enumerate(self.items):
             errors = budget(len(item), self.error_rate)
             parts = pieces(item, errors)
             self.budgets.append(errors)
             self.cuts.append([at for at, _ in parts] + [len(item)])
-            if item.count(" ") + 1 < MIN_WORDS:
-                self.short.setdefault(item, []).append(number)
-                continue
             for k, (_, piece) in enumerate(parts):
                 self.automaton.add_word(piece, self.automaton.get(piece, ()) + ((number, k, *self.beside(number, k)),))
         if len(self.automaton):
@@ -181,11 +205,14 @@ class Matcher:
                             continue
                     if self.climbs(plain, number, piece, start):
                         starts.setdefault(number, set()).add(start)
-        found = [(self.items[n][0], 0, self.budgets[n], plain) for n in self.short.get(plain, ())]
+        found = []
         for number, places in starts.items():
             item_id, item = self.items[number]
             errors = self.budgets[number]
             best, matched = errors + 1, ""
+            if number in self.short:
+                best, matched = self.whole_words(plain, item, errors, places)
+                places = ()
             for low, high in self._windows(sorted(places), len(item), errors, len(plain)):
                 distance, end = self.pattern(number, 0, len(self.cuts[number]) - 1).best(plain[low:high], best - 1)
                 if distance < best:
@@ -194,9 +221,30 @@ class Matcher:
                 found.append((item_id, best, errors, matched))
         return sorted(found, key=lambda f: (f[0] is None, f[0] or 0, f[1]))
 
+    @staticmethod
+    def whole_words(plain: str, item: str, errors: int, starts: set[int]) -> tuple[int, str]:
+        """Least distance of a short item to a part of a text between words, and that part; budget + 1 if too far."""
+        best, matched, seen = (errors + 1, 0), "", set()
+        firsts = {at for start in starts for at in range(max(0, start - errors), min(len(plain), start + errors) + 1)}
+        for first in sorted(firsts):
+            if not between_words(plain, first):
+                continue
+            for end in range(first + len(item) - errors, min(len(plain), first + len(item) + errors) + 1):
+                if between_words(plain, end):
+                    part = plain[first:end]
+                    if part in seen:  # the same part further to the right is no better
+                        continue
+                    seen.add(part)
+                    now = (0 if part == item else edits(item, part), end)
+                    if now[0] <= errors and now < best:
+                        best, matched = now, part
+        return best[0], matched
+
     @staticmethod
     def _windows(starts: list[int], length: int, errors: int, total: int) -> Iterator[tuple[int, int]]:
         """Where the item could lie, overlapping windows joined."""
+        if not starts:
+            return
         low, high = max(0, starts[0] - errors), min(total, starts[0] + length + errors)
         for start in starts[1:]:
             a, b = max(0, start - errors), min(total, start + length + errors)

@@ -292,6 +292,43 @@ def test_edit_matches_equal_brute_force():
         assert got == {i: d for i, d in want.items() if d <= decontamination.budget(len(dict(items)[i]))}
 
 
+def test_short_items_and_scripts_without_blanks():
+    """Short questions are found inside a document, at word boundaries; passages without blanks count by letters."""
+    passage = "".join(chr(0x4E00 + 37 * k % 5000) for k in range(60))
+    items = [(1, "what is the capital of france"), (2, "art"), (3, passage), (4, passage[:8]), (5, "a cat sat down")]
+    matcher = decontamination.Matcher([(k, decontamination.normal(t)) for k, t in items])
+
+    def found(text):
+        return {(i, d) for i, d, _, _ in matcher.search(text)}
+
+    assert found("Quiz. What is the capital of France? Paris.") == {(1, 0)}
+    assert found("Quiz. What is the capitol of France? Paris.") == {(1, 1)}
+    assert found("xwhat is the capital of francex y") == {(1, 2)}  # two edits leave whole words: budget 2
+    assert found("the party started") == set()
+    assert found("The art of it") == found("ART") == found("art") == {(2, 0)}
+    assert found("begin" + passage + "end") == {(3, 0), (4, 0)}
+    assert found(passage[:30] + "x" + passage[31:]) == {(3, 1), (4, 0)}
+    assert found(passage[20:]) == set()
+    assert found("so a cat sat downstairs") == set() and found("so a cat sat dow, n") == {(5, 1)}
+    assert [m for i, _, _, m in matcher.search("so a cat sat down, and a cat sat down") if i == 5] == ["a cat sat down"]
+
+
+def test_short_matches_equal_brute_force():
+    rng = random.Random(5)
+    items = [(k, " ".join(words_of(n, 300 + k))) for k, n in enumerate((1, 2, 3, 4, 5, 6, 7))]
+    matcher = decontamination.Matcher(items)
+    for trial in range(150):
+        chars = list(rng.choice(items)[1])
+        for _ in range(rng.randrange(4)):
+            k = rng.randrange(len(chars))
+            chars[k:k + rng.randrange(2)] = rng.choice([[], ["a"], ["t", " "]])
+        plain = decontamination.normal(" ".join(words_of(3, trial)) + " " + "".join(chars) + " " + " ".join(words_of(3, trial + 500)))
+        at = [k for k in range(len(plain) + 1) if decontamination.between_words(plain, k)]
+        want = {i: min(decontamination.edits(t, plain[a:b]) for a in at for b in at if a < b and b - a < 40) for i, t in items}
+        assert {i: d for i, d, _, _ in matcher.search(plain)} == {
+            i: d for i, d in want.items() if d <= decontamination.budget(len(dict(items)[i]))}
+
+
 def test_decontamination_odd_rows(spark, odd, nothing):
     item = " ".join(words_of(80)[10:40]).upper()
     items = spark.createDataFrame(
