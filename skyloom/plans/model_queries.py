@@ -1,4 +1,4 @@
-"""Queries that fit and apply models (M1, M3-M7, M9, T5). Small forests keep a run short."""
+"""Queries that fit and apply models (M1, M3-M7, M9, T5). Models have the library's defaults."""
 
 from __future__ import annotations
 
@@ -16,7 +16,7 @@ from skyloom.plans.registry import query
 from skyloom.session import durable, work_path
 from skyloom.streaming import history as stream
 
-TREES, DEPTH = 10, 5
+TREES, DEPTH = K.FOREST_TREES, K.FOREST_DEPTH
 COLS = list(K.FOREST_FEATURES)
 
 
@@ -65,9 +65,9 @@ def m5_attribution(spark, sf):
 
 @query("m6_sequence_scores")
 def m6_sequence_scores(spark, sf):
-    """M6: windows of five days, perceptron, held-out scores."""
+    """M6: windows of ``SEQUENCE_LENGTH`` days, perceptron, held-out scores."""
     table = durable(flows.sequence_features(B.readings(spark, sf)), "sequence")
-    _, held_out = sequence_model.fit_sequence(table, length=5, hidden=(16,), iterations=30, gap=5)
+    _, held_out = sequence_model.fit_sequence(table)
     return held_out.select("site_id", "date", "split", "target", "prob")
 
 
@@ -77,7 +77,7 @@ def m7_sequence_newest(spark, sf):
     """M7, M8: decision for each site's newest window at the tuned threshold."""
     series = durable(features.add_sequence_features(flows.sequence_daily(B.readings(spark, sf))), "series")
     fitted, _ = sequence_model.fit_sequence(
-        features.sequence_targets(series), length=5, kind="logistic", iterations=20, gap=5)
+        features.sequence_targets(series), kind="logistic")
     scored = sequence_model.score_sequence(fitted, series)
     decided = F.col("label_text") == F.when(F.col("prediction") == 1, K.DECISION_LABELS[1]).otherwise(K.DECISION_LABELS[0])
     return scored.select("site_id", "date", _share("prob").alias("prob_ok"), decided.alias("decided"))

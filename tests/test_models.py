@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from skyloom import constants as K
 from skyloom.ml import attribution, forest, scoring, sequence_model
-from skyloom.operators import evaluate
+from skyloom.operators import evaluate, features
+from skyloom.plans import flows, model_queries
 from skyloom.session import work_path
 from skyloom.sources import tables
 
@@ -115,3 +116,25 @@ def test_fallback_order_and_missing_model(spark):
     assert chosen == {1: ("history", "cold"), 2: ("stored", "cold"), 3: ("reading", "heat"), 4: (None, None)}
     idle = scoring.score_with_fallback(*args, model=None).collect()
     assert [(r["risk_score"], r["event_type"], r["ready"]) for r in idle] == [(0.0, "unknown", False)] * 4
+
+
+def test_queries_run_the_library_defaults(monkeypatch):
+    """No query fits a smaller model or shorter windows than the constants say."""
+    assert (model_queries.TREES, model_queries.DEPTH) == (K.FOREST_TREES, K.FOREST_DEPTH)
+    seen = []
+
+    class Seen(Exception):
+        pass
+
+    def fit(table, *args, **settings):
+        seen.append((args, settings))
+        raise Seen
+
+    for where, name in ((model_queries, "durable"), (model_queries.B, "readings"), (flows, "sequence_features"),
+                        (flows, "sequence_daily"), (features, "add_sequence_features"), (features, "sequence_targets")):
+        monkeypatch.setattr(where, name, lambda *args: None)
+    monkeypatch.setattr(sequence_model, "fit_sequence", fit)
+    for query in (model_queries.m6_sequence_scores, model_queries.m7_sequence_newest):
+        with pytest.raises(Seen):
+            query(None, None)
+    assert seen == [((), {}), ((), {"kind": "logistic"})]
