@@ -39,11 +39,17 @@ placed AS (SELECT *, rank() OVER (ORDER BY date) - 1 AS position, count(*) OVER
 SELECT site_id, date, CASE WHEN position >= floor(total * (0.7e0 + 0.1e0)) THEN 'test' ELSE 'val' END AS split, target,
   true AS prob_ok FROM placed WHERE position >= floor(total * 0.7e0)""")
 def m1_forest_scores(spark, sf):
+    """What no draw decides of ``m1_forest_probabilities``, for the SQL twin."""
+    return m1_forest_probabilities(spark, sf).withColumn("prob_ok", _share("prob")).drop("prob")
+
+
+@query("m1_forest_probabilities")
+def m1_forest_probabilities(spark, sf):
     """Fit on the first 70 % of days, score the rest."""
     table = durable(temporal_split(_features(spark, sf), gap=0), "split")
     model = _model(table.filter(F.col("split") == "train"))
     scored = forest.score(model, table.filter(F.col("split") != "train"))
-    return scored.select("site_id", "date", "split", "target", _share("prob").alias("prob_ok"))
+    return scored.select("site_id", "date", "split", "target", "prob")
 
 
 @query("m3_cv")
@@ -74,13 +80,20 @@ def m6_sequence_scores(spark, sf):
 @query("m7_sequence_newest", _M12[:_M12.rindex("SELECT site_id")] + """SELECT site_id, max(date) AS date, true AS prob_ok,
   true AS decided FROM final GROUP BY site_id HAVING count(*) >= 5""")
 def m7_sequence_newest(spark, sf):
+    """What no draw decides of ``m7_sequence_decisions``, for the SQL twin."""
+    decided = F.col("label_text") == F.when(F.col("prediction") == 1, K.DECISION_LABELS[1]).otherwise(K.DECISION_LABELS[0])
+    return m7_sequence_decisions(spark, sf).select(
+        "site_id", "date", _share("prob").alias("prob_ok"), decided.alias("decided"))
+
+
+@query("m7_sequence_decisions")
+def m7_sequence_decisions(spark, sf):
     """M7, M8: decision for each site's newest window at the tuned threshold."""
     series = durable(features.add_sequence_features(flows.sequence_daily(B.readings(spark, sf))), "series")
     fitted, _ = sequence_model.fit_sequence(
         features.sequence_targets(series), kind="logistic")
-    scored = sequence_model.score_sequence(fitted, series)
-    decided = F.col("label_text") == F.when(F.col("prediction") == 1, K.DECISION_LABELS[1]).otherwise(K.DECISION_LABELS[0])
-    return scored.select("site_id", "date", _share("prob").alias("prob_ok"), decided.alias("decided"))
+    return sequence_model.score_sequence(fitted, series).select(
+        "site_id", "date", "prob", "prediction", "threshold", "label_text")
 
 
 def _fallback_inputs(spark, sf):
@@ -107,15 +120,28 @@ def m9_fallback_choice(spark, sf):
 
 @query("m9_fallback_scores", f"{_CHOICE} SELECT site_id, source, true AS risk_ok, true AS ready FROM choice")
 def m9_fallback_scores(spark, sf):
+    """What no draw decides of ``m9_fallback_risks``, for the SQL twin."""
+    return m9_fallback_risks(spark, sf).select("site_id", "source", _share("risk_score").alias("risk_ok"), "ready")
+
+
+@query("m9_fallback_risks")
+def m9_fallback_risks(spark, sf):
+    """M9: risk and event type per site."""
     model = _model(_features(spark, sf))
-    scored = scoring.score_with_fallback(*_fallback_inputs(spark, sf), model, COLS)
-    return scored.select("site_id", "source", _share("risk_score").alias("risk_ok"), "ready")
+    return scoring.score_with_fallback(*_fallback_inputs(spark, sf), model, COLS).select(
+        "site_id", "source", "risk_score", "event_type", "ready")
 
 
 @query("t5_stream_archive", f"""WITH {B.DOMINANT}, last AS (SELECT * FROM dominant
   QUALIFY row_number() OVER (PARTITION BY site_id, date, hour ORDER BY ts DESC, event_id DESC) = 1)
 SELECT site_id, date, hour, dominant, true AS risk_ok, true AS ml_ready FROM last""")
 def t5_stream_archive(spark, sf):
+    """What no draw decides of ``t5_stream_risks``, for the SQL twin."""
+    return t5_stream_risks(spark, sf).withColumn("risk_ok", _share("risk_score")).drop("risk_score", "event_type")
+
+
+@query("t5_stream_risks")
+def t5_stream_risks(spark, sf):
     """Readings to history, live features, risk and archive entries in one streaming job."""
     model = _model(_features(spark, sf))
     store = stream.History(work_path(spark, "stream"))
@@ -130,4 +156,4 @@ def t5_stream_archive(spark, sf):
     stream.score_stream(landed, store, model, COLS, entries).awaitTermination()
     current = stream.table(spark, store, "archive", ["site_id", "date", "hour"])
     return history.newest_first(current).select(
-        "site_id", "date", "hour", "dominant", _share("risk_score").alias("risk_ok"), "ml_ready")
+        "site_id", "date", "hour", "dominant", "risk_score", "event_type", "ml_ready")

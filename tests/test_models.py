@@ -138,3 +138,18 @@ def test_queries_run_the_library_defaults(monkeypatch):
         with pytest.raises(Seen):
             query(None, None)
     assert seen == [((), {}), ((), {"kind": "logistic"})]
+
+
+@pytest.mark.parametrize("name, number", [("m1_forest_probabilities", "prob"), ("m7_sequence_decisions", "prob"),
+                                          ("m9_fallback_risks", "risk_score"), ("t5_stream_risks", "risk_score")])
+def test_queries_return_the_numbers_of_the_model(spark, sf, name, number):
+    """The scores themselves, not only checks of them; a forest has more than one number."""
+    rows = model_queries.__dict__[name](spark, sf).collect()
+    values = [r[number] for r in rows if r[number] is not None]
+    assert values and all(0 <= v <= 1 for v in values)
+    if name == "m7_sequence_decisions":  # rounded, these are 0 for every site of the smallest tables
+        assert len(values) == len(rows) and all((r["prob"] >= round(r["threshold"], 4)) == (r["prediction"] == 1) for r in rows)
+        return
+    assert len(set(values)) > 1
+    if name != "m1_forest_probabilities":
+        assert all(r["event_type"] for r in rows)
