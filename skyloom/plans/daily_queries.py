@@ -463,17 +463,42 @@ def t3_stream_daily(spark, sf):
         "site_id", "date", "n_readings", "temp_c_max", "humidity_mean", "precip_mm_sum"))
 
 
-@query("t6_stream_drop_late", f"WITH {B.DAILY_LIVE} SELECT site_id, date, n_readings, {r6('temp_c_max', 'humidity_mean')} FROM daily")
+_HELD_BACK = 7  # every seventh event lands last
+
+
+@query("t6_stream_drop_late", f"""WITH {B.OBS}, cut AS (SELECT max(ts) - INTERVAL 1 DAY AS edge FROM obs WHERE event_id % {_HELD_BACK} <> 0),
+latest AS (SELECT obs.* FROM obs, cut WHERE event_id % {_HELD_BACK} <> 0 OR ts >= edge
+  QUALIFY row_number() OVER (PARTITION BY site_id, date, hour ORDER BY ts DESC, event_id DESC) = 1)
+SELECT site_id, date, CAST(count(*) AS BIGINT) AS n_readings, round(max(temperature), 6) AS temp_c_max,
+  round(avg(humidity), 6) AS humidity_mean FROM latest GROUP BY 1, 2""")
 def t6_stream_drop_late(spark, sf):
-    """The running aggregate; landed in one trigger nothing is late, so the batch twin is every reading."""
+    """Events land in three batches: the older half, the newer half, and those held back, most of them late by then."""
+    events, path = B.table(spark, sf, "events"), work_path(spark, "landed")
+    span = events.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))).alias("a"),
+                      F.max(F.unix_micros(F.col("ts").cast("timestamp"))).alias("b")).first()
+    middle = F.timestamp_micros(F.lit((span["a"] + span["b"]) // 2))
+    late, older = F.col("event_id") % _HELD_BACK == 0, F.col("ts").cast("timestamp") < middle
+    for k, part in enumerate((~late & older, ~late & ~older, late)):
+        events.where(part).coalesce(1).write.parquet(f"{path}/part={k}")
+    source = stream.ingest(spark, f"{path}/*", events.schema, files_per_batch=1)
     store = stream.History(work_path(spark, "stream"))
-    stream.daily_stream(_landed(spark, sf), store, late="drop").awaitTermination()
+    stream.daily_stream(B.as_obs(source), store, late="drop").awaitTermination()
     return rounded(stream.days(spark, store).select("site_id", "date", "n_readings", "temp_c_max", "humidity_mean"))
 
 
-@query("t4_stream_status", f"""{_CURRENT}, counted AS (SELECT site_id, CAST(count(DISTINCT date) AS BIGINT) AS days, max(date) AS date FROM latest GROUP BY 1)
-SELECT site_id, date, days, CASE WHEN days < 7 THEN 'partial_rolling' WHEN days < 14 THEN 'partial_lags' ELSE 'complete' END AS status FROM counted""")
+#: Daily rows and partial features of the last reading per site, date and hour.
+LIVE_HISTORY = B.DAILY_LIVE.replace(B.OBS, f"""{B.OBS}, latest AS (SELECT * FROM obs
+  QUALIFY row_number() OVER (PARTITION BY site_id, date, hour ORDER BY ts DESC, event_id DESC) = 1)""").replace(
+    "FROM obs GROUP BY", "FROM latest GROUP BY") + f""", windowed AS (SELECT *, {_feature_sql(False)} FROM daily),
+featured AS (SELECT *, pressure_hpa_mean - pressure_hpa_mean_ma7 AS pressure_deficit, (pressure_hpa_mean - 1013e0) / 5e0 AS pressure_norm
+  FROM windowed)"""
+
+
+@query("t4_stream_status", f"""WITH {LIVE_HISTORY}, counted AS (SELECT site_id, CAST(count(*) AS BIGINT) AS days FROM daily GROUP BY 1)
+SELECT site_id, date, days, CASE WHEN days < 7 THEN 'partial_rolling' WHEN days < 14 THEN 'partial_lags' ELSE 'complete' END AS status,
+  {r6(*K.FOREST_FEATURES)} FROM featured JOIN counted USING (site_id) QUALIFY row_number() OVER (PARTITION BY site_id ORDER BY date DESC) = 1""")
 def t4_stream_status(spark, sf):
     store = stream.History(work_path(spark, "stream"))
     stream.status_stream(_landed(spark, sf), store).awaitTermination()
-    return stream.table(spark, store, "live", ["site_id"]).select("site_id", "date", "days", "status")
+    live = stream.table(spark, store, "live", ["site_id"])
+    return rounded(live.select("site_id", "date", "days", "status", *[F.col(c).cast("double").alias(c) for c in K.FOREST_FEATURES]))

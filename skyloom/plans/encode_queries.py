@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skyloom import constants as K
 from skyloom.functions import physics, seeds
@@ -15,7 +16,9 @@ from skyloom.operators import encode, history, labels, series
 from skyloom.plans import bridge as B
 from skyloom.plans import flows
 from skyloom.plans.registry import dec, query, r6, rounded
+from skyloom.session import work_path
 from skyloom.sources import payload, readings as R
+from skyloom.streaming import history as stream
 
 
 @query("p_physics", f"""WITH {B.READINGS}, {B.PHYSICAL}
@@ -173,7 +176,7 @@ def documents(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     )
 
 
-@query("s1_flatten_json", f"""WITH {B.VISUAL}
+_FLAT_SQL = f"""WITH {B.VISUAL}
 SELECT event_id, round(temperature, 6) AS temperature, round(temperature - 2, 6) AS temp_min, round(temperature + 2, 6) AS temp_max,
   round(CASE WHEN event_id % 3 = 0 THEN temperature + 1 ELSE temperature END, 6) AS feels_like, humidity, pressure,
   CASE WHEN event_id % 5 = 0 THEN pressure + 1 ELSE pressure END AS sea_level,
@@ -185,7 +188,10 @@ SELECT event_id, round(temperature, 6) AS temperature, round(temperature - 2, 6)
   CAST(CASE WHEN event_id % 2 = 1 THEN 1700000000 + event_id ELSE 0 END AS BIGINT) AS sunrise, CAST(0 AS BIGINT) AS sunset,
   city, CAST(site_id % 90 AS DOUBLE) AS lat, site_id / 10e0 AS lon, CAST(site_id % 5 + 1 AS INTEGER) AS aqi,
   round(site_id * 1.5e0, 6) AS pm2_5, 0e0 AS pm10, CASE WHEN site_id % 2 = 0 THEN 3.5e0 ELSE 0e0 END AS no2,
-  0e0 AS o3, 0e0 AS co, 0e0 AS so2, 0e0 AS nh3 FROM visual""")
+  0e0 AS o3, 0e0 AS co, 0e0 AS so2, 0e0 AS nh3 FROM visual"""
+
+
+@query("s1_flatten_json", _FLAT_SQL)
 def s1_flatten_json(spark, sf):
     weather, air = documents(spark, sf)
     flat = R.flatten_readings(
@@ -194,6 +200,53 @@ def s1_flatten_json(spark, sf):
     return rounded(flat.select(*_DOC_COLUMNS))
 
 
+_LANDINGS = 4
+
+
+def _land(spark, sf):
+    """Folders of landed JSON lines: weather documents, and an air document per coordinate pair and hour with readings.
+
+    Both kinds land in several files in the order of time.
+    """
+    weather, air = documents(spark, sf)
+    seconds = B.obs(spark, sf).select("event_id", "site_id", F.unix_seconds(F.col("ts").cast("timestamp")).alias("dt"))
+    weather = weather.join(seconds, "event_id").select(
+        "dt", F.concat(F.expr("substring(weather_doc, 1, length(weather_doc) - 1)"), F.lit(',"dt":'), F.col("dt").cast("string"),
+                       F.lit(',"event_id":'), F.col("event_id").cast("string"), F.lit("}")).alias("value"))
+    hours = seconds.select(
+        (F.col("site_id") % 90).cast("double").alias("lat"), (F.col("site_id") / 10.0).alias("lon"),
+        (F.floor(F.col("dt") / 3600) * 3600).alias("dt")).distinct()
+    parsed = air.withColumn("doc", F.from_json("air_doc", R.schemas.AIR)).select(
+        F.col("doc.coord.lat").alias("lat"), F.col("doc.coord.lon").alias("lon"), "air_doc")
+    air = hours.join(parsed, ["lat", "lon"]).select(
+        "dt", F.regexp_replace("air_doc", r"\}\]\}$", F.concat(F.lit(',"dt":'), F.col("dt").cast("string"), F.lit("}]}"))).alias("value"))
+    span = seconds.agg(F.min("dt").alias("a"), F.max("dt").alias("b")).first()
+    step = (span["b"] - span["a"]) // _LANDINGS + 1
+    folders = work_path(spark, "weather"), work_path(spark, "air")
+    for docs, folder in zip((weather, air), folders):
+        slices = F.floor((F.col("dt") - F.lit(span["a"])) / F.lit(step))
+        for k in range(_LANDINGS):
+            docs.where(F.greatest(slices, F.lit(0)) == k).select("value").coalesce(1).write.text(f"{folder}/slice={k}")
+    return folders
+
+
+@query("t1_stream_json", f"""WITH flat AS ({_FLAT_SQL}),
+edges AS (SELECT event_id, ts, CAST(make_date(year(ts), 3, 31) AS DATE) AS m, CASE WHEN year(ts) <= 1995 THEN make_date(year(ts), 9, 30)
+  ELSE make_date(year(ts), 10, 31) END AS o FROM events),
+clock AS (SELECT event_id, ts + CASE WHEN ts >= CAST(m - CAST(dayofweek(m) AS INTEGER) AS TIMESTAMP) + INTERVAL 1 HOUR
+  AND ts < CAST(o - CAST(dayofweek(o) AS INTEGER) AS TIMESTAMP) + INTERVAL 1 HOUR THEN INTERVAL 2 HOUR ELSE INTERVAL 1 HOUR END AS here FROM edges)
+SELECT flat.*, strftime(here, '%Y-%m-%d %H:%M') AS datetime, CAST(here AS DATE) AS date, CAST(hour(here) AS INTEGER) AS hour
+FROM flat JOIN clock USING (event_id)""")
+def t1_stream_json(spark, sf):
+    """Both kinds of landed documents as streams, joined on coordinates and time, into the history."""
+    weather, air = _land(spark, sf)
+    landed = stream.ingest_documents(
+        spark, f"{weather}/*", f"{air}/*", extra=(T.StructField("event_id", T.LongType()),), files_per_batch=1)
+    store = stream.History(work_path(spark, "stream"), keys=("event_id",), seq=("nearest",))
+    stream.upsert_stream(landed.withColumn("nearest", -F.col("air_gap")), store).awaitTermination()
+    return rounded(stream.readings(spark, store).select(*_DOC_COLUMNS, "datetime", "date", "hour"))
+
+
 @query("j2_site_join", """SELECT CAST(o_custkey % 25 AS INTEGER) AS nation_key, n_name AS site_name, r_name AS region_name,
   CAST(count(*) AS BIGINT) AS n_readings, round(avg(o_totalprice), 4) AS mean_value
 FROM orders JOIN nation ON o_custkey % 25 = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2, 3""")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from skyloom import constants as K
@@ -11,13 +12,15 @@ from skyloom.ml.split import temporal_split
 from skyloom.operators import daily, features, history, windows
 from skyloom.plans import bridge as B
 from skyloom.plans import flows
-from skyloom.plans.daily_queries import _M11, _M12
-from skyloom.plans.registry import query
+from skyloom.plans.daily_queries import _M11, _M12, LIVE_HISTORY
+from skyloom.plans.registry import query, r6, rounded
 from skyloom.session import durable, work_path
 from skyloom.streaming import history as stream
 
 TREES, DEPTH = K.FOREST_TREES, K.FOREST_DEPTH
 COLS = list(K.FOREST_FEATURES)
+LIVE_ROWS = LIVE_HISTORY.removeprefix(B.OBS + ", ")
+_MODELS: dict[tuple[str, str], PipelineModel] = {}
 
 
 def _features(spark, sf):
@@ -28,6 +31,14 @@ def _model(table, trees=TREES, depth=DEPTH):
     return forest.fit_forest(table, COLS, trees=trees, depth=depth)
 
 
+def _whole_model(spark, sf):
+    """The forest over all rows of a table, fitted once per application."""
+    key = spark.sparkContext.applicationId, sf
+    if key not in _MODELS:
+        _MODELS[key] = _model(_features(spark, sf))
+    return _MODELS[key]
+
+
 def _share(column):
     """Is a probability one? The rest of a model's number depends on its random draws."""
     return F.col(column).between(0.0, 1.0)
@@ -66,7 +77,7 @@ def m5_attribution(spark, sf):
 
     table = _features(spark, sf)
     sample = attribution.first_rows(table, "date", "site_id")
-    return attribution_summary(attribution.attributions(_model(table), sample, COLS, ["site_id", "date"]))
+    return attribution_summary(attribution.attributions(_whole_model(spark, sf), sample, COLS, ["site_id", "date"]))
 
 
 @query("m6_sequence_scores")
@@ -127,33 +138,58 @@ def m9_fallback_scores(spark, sf):
 @query("m9_fallback_risks")
 def m9_fallback_risks(spark, sf):
     """M9: risk and event type per site."""
-    model = _model(_features(spark, sf))
+    model = _whole_model(spark, sf)
     return scoring.score_with_fallback(*_fallback_inputs(spark, sf), model, COLS).select(
         "site_id", "source", "risk_score", "event_type", "ready")
 
 
-@query("t5_stream_archive", f"""WITH {B.DOMINANT}, last AS (SELECT * FROM dominant
-  QUALIFY row_number() OVER (PARTITION BY site_id, date, hour ORDER BY ts DESC, event_id DESC) = 1)
-SELECT site_id, date, hour, dominant, true AS risk_ok, true AS ml_ready FROM last""")
-def t5_stream_archive(spark, sf):
-    """What no draw decides of ``t5_stream_risks``, for the SQL twin."""
-    return t5_stream_risks(spark, sf).withColumn("risk_ok", _share("risk_score")).drop("risk_score", "event_type")
+_SHOWN = ("temp_c_max_ma7", "pressure_hpa_mean_ma3", "wind_speed_max_lag3")
+_LAND = 3  # days land in turn: those whose number leaves 1, then 2, then 0
 
 
-@query("t5_stream_risks")
-def t5_stream_risks(spark, sf):
-    """Readings to history, live features, risk and archive entries in one streaming job."""
-    model = _model(_features(spark, sf))
+def _archived(spark, sf, model):
+    """The archive of a stream that gets whole days late, and the history it came from."""
+    events, path = B.table(spark, sf, "events"), work_path(spark, "landed")
+    turn = F.unix_date(F.to_date("ts")) % _LAND
+    for k in (1, 2, 0):
+        events.where(turn == k).coalesce(1).write.parquet(f"{path}/turn={(k - 1) % _LAND}")
     store = stream.History(work_path(spark, "stream"))
-    schema = spark.read.parquet(f"{sf}/events.parquet").schema
-    landed = B.as_obs(stream.ingest(spark, f"{sf}/event[s].parquet", schema)).drop(
+    landed = B.as_obs(stream.ingest(spark, f"{path}/*", events.schema, files_per_batch=1)).drop(
         "risk_score", "event_type", "ml_ready")
 
     def entries(readings, risk):
         shown = flows.encoded(readings).withColumn("image_path", asset_path("city", "date", "hour", "sky"))
-        return history.archive_entries(shown.join(risk, ["site_id", "date"], "left"), ["site_id"])
+        return history.archive_entries(shown.join(risk, ["site_id", "date"], "left"), ["site_id", *_SHOWN])
+
+    stream.score_stream(landed, store, model, COLS, entries, _SHOWN).awaitTermination()
+    return stream.table(spark, store, "archive", ["site_id", "date", "hour"]), store
+
 
-    stream.score_stream(landed, store, model, COLS, entries).awaitTermination()
-    current = stream.table(spark, store, "archive", ["site_id", "date", "hour"])
+@query("t5_stream_archive", f"""WITH {B.DOMINANT}, last AS (SELECT * FROM dominant
+  QUALIFY row_number() OVER (PARTITION BY site_id, date, hour ORDER BY ts DESC, event_id DESC) = 1), {LIVE_ROWS},
+typed AS (SELECT site_id, date, CASE WHEN temp_c_max >= {K.RULE_HEAT_C}e0 THEN 'heat' WHEN temp_c_min <= {K.RULE_COLD_C}e0 THEN 'cold'
+  WHEN wind_speed_max >= {K.RULE_WIND_HISTORY_MS}e0 THEN 'wind' WHEN cloud_cover_mean * 100e0 > {K.RULE_CLOUD_PCT}e0
+  AND humidity_mean > {K.RULE_HUMIDITY_PCT}e0 THEN 'rain' ELSE 'none' END AS event_type, {r6(*_SHOWN)} FROM featured)
+SELECT last.site_id, last.date, hour, dominant, typed.event_type, true AS ml_ready, {', '.join(_SHOWN)}, true AS as_in_one_batch
+FROM last JOIN typed USING (site_id, date)""")
+def t5_stream_archive(spark, sf):
+    """T1-T5 with days that arrive late: entries, the features behind them, and whether the risk is that of the whole history.
+
+    ``as_in_one_batch`` compares the archived risk with the model's on the features of all readings at once.
+    """
+    model = _whole_model(spark, sf)
+    current, store = _archived(spark, sf, model)
+    whole = features.live_history(daily.daily_live(history.latest(B.obs(spark, sf), list(store.keys), list(store.seq))))
+    risk = scoring.predict_daily(model, whole, COLS, ["site_id", "date"]).select(
+        "site_id", "date", F.col("risk_score").alias("once"))
+    same = F.abs(F.col("risk_score") - F.col("once")) <= 0.005  # a feature's last bit may move one tree of 400
+    return rounded(current.join(risk, ["site_id", "date"]).select(
+        "site_id", "date", "hour", "dominant", "event_type", "ml_ready", *_SHOWN, same.alias("as_in_one_batch")))
+
+
+@query("t5_stream_risks")
+def t5_stream_risks(spark, sf):
+    """T5: the risks of the same archive, newest first."""
+    current, _ = _archived(spark, sf, _whole_model(spark, sf))
     return history.newest_first(current).select(
         "site_id", "date", "hour", "dominant", "risk_score", "event_type", "ml_ready")

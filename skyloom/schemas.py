@@ -31,6 +31,13 @@ AIR = _struct(
     )),
 )
 
+# as landed: with the time of the reading in epoch seconds
+LANDED_WEATHER = T.StructType([*WEATHER.fields, T.StructField("dt", T.LongType())])
+LANDED_AIR = _struct(
+    coord=AIR["coord"].dataType,
+    list=T.ArrayType(T.StructType([*AIR["list"].dataType.elementType.fields, T.StructField("dt", T.LongType())])),
+)
+
 RAW_HISTORY = _struct(
     datetime=_TEXT, date=T.DateType(), hour=_INT, temperature=_DOUBLE, pressure=_INT, wind_speed=_DOUBLE,
     humidity=_INT, clouds=_INT, pm2_5=_DOUBLE, rain_1h=_DOUBLE,

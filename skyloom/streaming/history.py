@@ -15,14 +15,18 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from skyloom import constants as K
+from skyloom import schemas
+from skyloom.functions.calendar import local_time
 from skyloom.ml.scoring import predict_daily
 from skyloom.operators import daily, features, history
-from skyloom.session import path_exists
+from skyloom.session import durable, path_exists
+from skyloom.sources import readings as landed
 
 KEYS = ["site_id", "date", "hour"]
 SEQ = ["ts", "event_id"]
@@ -51,6 +55,39 @@ def ingest(
     )
 
 
+def ingest_documents(
+    spark: SparkSession, weather: str, air: str, extra: tuple[T.StructField, ...] = (), near: str = "1 hour",
+    delay: str = "1 day", zone: str = K.LOCAL_ZONE, files_per_batch: int = 1000,
+) -> DataFrame:
+    """Landed JSON documents of both kinds as one stream of flat readings with local-zone keys.
+
+    Both kinds are streams. A weather document meets the air documents of its coordinates that are at most ``near`` older;
+    the watermarks (``delay``) and this bound let Spark drop documents from the join's state that no later one can
+    meet. Where several air documents match, every match is a row, and ``air_gap`` (seconds between the two) lets a
+    history keep the closest: put ``-air_gap`` last into its order. Documents without coordinates or time match nothing.
+    ``extra`` names further fields of the weather documents to keep.
+    """
+    options = {"maxFilesPerTrigger": files_per_batch}
+    fields = T.StructType([*schemas.LANDED_WEATHER.fields, *extra])
+    documents = spark.readStream.schema(fields).options(**options).json(weather)
+    kept = [f.name for f in extra]
+    readings_ = documents.select(
+        F.timestamp_seconds("dt").alias("ts"), *kept, F.struct(*schemas.WEATHER.fieldNames()).alias("weather_doc")
+    ).select("ts", *kept, *[c.alias(n) for n, c in landed.weather_columns().items()]).withWatermark("ts", delay)
+    quality = spark.readStream.schema(schemas.LANDED_AIR).options(**options).json(air).select(
+        F.struct("coord", "list").alias("air_doc")
+    ).select(
+        F.timestamp_seconds(F.get("air_doc.list", 0)["dt"]).alias("air_ts"), F.col("air_doc.coord.lat").alias("air_lat"),
+        F.col("air_doc.coord.lon").alias("air_lon"), *[c.alias(n) for n, c in landed.air_columns().items()]
+    ).withWatermark("air_ts", delay)
+    bound = F.expr(f"INTERVAL {near}")
+    met = readings_.join(
+        quality, (F.col("lat") == F.col("air_lat")) & (F.col("lon") == F.col("air_lon"))
+        & (F.col("air_ts") <= F.col("ts")) & (F.col("air_ts") > F.col("ts") - bound))
+    gap = F.unix_seconds("ts") - F.unix_seconds("air_ts")
+    return local_time(met.withColumn("air_gap", gap).drop("air_ts", "air_lat", "air_lon"), "ts", zone)
+
+
 def _write(df: DataFrame, batch_id: int, path: str, by: str = "date") -> None:
     (
         df.withColumn("batch_id", F.lit(batch_id).cast("long")).hint("rebalance", by)
@@ -135,23 +172,39 @@ def refresh_status(batch: DataFrame, batch_id: int, store: History) -> None:
     _write_sites(live, batch_id, store, "live")
 
 
+#: A day enters the features of its site's next rows: the longest mean covers this many rows after it, the longest lag fewer.
+REACH = max(max(K.ROLL_SIZES) - 1, *K.LAG_STEPS)
+
+
+def depending_days(known: DataFrame, touched: DataFrame, site: str = "site_id", date: str = "date") -> DataFrame:
+    """Features of the touched days and of all later rows that depend on one of them.
+
+    ``known`` holds all days of the touched sites, the touched ones (``site``, ``date``) among them.
+    """
+    behind = Window.partitionBy(site).orderBy(date).rowsBetween(-REACH, Window.currentRow)
+    marked = features.live_history(known, site, date).join(
+        touched.select(site, date, F.lit(True).alias("_touched")), [site, date], "left")
+    return marked.withColumn("_reached", F.max("_touched").over(behind)).where("_reached").drop("_touched", "_reached")
+
+
 def score_batch(
     batch: DataFrame, batch_id: int, store: History, model: PipelineModel, cols: list[str],
-    entries: Callable[[DataFrame, DataFrame], DataFrame],
+    entries: Callable[[DataFrame, DataFrame], DataFrame], shown: tuple[str, ...] = (),
 ) -> None:
-    """T5: score the days this batch touched and write its archive entries.
+    """T5: write the archive entries of every day whose risk this batch changes.
 
-    Every reading gets the risk of its own site and date, from the history up to that date, so the archive does
-    not depend on how readings fall into batches. ``entries(readings, risk)`` turns the batch's readings and the
-    risk per site and date into archive rows.
+    A late reading changes the features of its own day and of up to ``REACH`` later rows of its site. All readings of
+    these days, also those of earlier batches, get their entries again from the features as they are now; readers take
+    the newest. So the archive does not depend on how readings fall into batches. ``entries(readings, risk)`` turns
+    readings and the risk per site and date (with the feature columns ``shown``) into archive rows.
     """
     spark = batch.sparkSession
     known = days(spark, store, touched_buckets(batch, store), batch.select("site_id").distinct())
-    touched = batch.select("site_id", "date").distinct()
-    as_of = features.live_history(known).join(touched, ["site_id", "date"], "left_semi")
-    risk = predict_daily(model, as_of, cols, ["site_id", "date"])
-    last = history.latest(batch, list(store.keys), list(store.seq))
-    _write(entries(last, risk), batch_id, store.folder("archive"))
+    as_of = durable(depending_days(known, batch.select("site_id", "date").distinct()), "as-of")
+    keys = ["site_id", "date"]
+    risk = predict_daily(model, as_of, cols, keys).join(as_of.select(*keys, *shown), keys)
+    current = readings(spark, store, touched_dates(as_of), as_of.select(*keys))
+    _write(entries(current, risk), batch_id, store.folder("archive"))
 
 
 def run(stream: DataFrame, store: History, *steps: Callable[[DataFrame, int, History], None]) -> StreamingQuery:
@@ -179,27 +232,43 @@ def upsert_stream(stream: DataFrame, store: History) -> StreamingQuery:
     return run(stream, store, upsert_batch)
 
 
+def on_time(batch: DataFrame, batch_id: int, store: History, delay: str, ts: str = "ts") -> DataFrame:
+    """The readings that are not older than the newest of all earlier batches less ``delay``.
+
+    The newest time of every batch stands beside the log under its number, so the limit survives a restart, and a batch
+    that is replayed sees the limit it saw before.
+    """
+    spark = batch.sparkSession
+    folder = store.folder("newest")
+    limit = None
+    if path_exists(spark, folder):
+        before = spark.read.schema("newest long, batch_id long").parquet(folder).where(F.col("batch_id") < batch_id)
+        limit = before.agg(F.max("newest").alias("newest")).first()["newest"]
+    at = F.col(ts).cast("timestamp")
+    batch.agg(F.max(F.unix_micros(at)).alias("newest"), F.lit(batch_id).cast("long").alias("batch_id")).write.mode(
+        "overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(folder)
+    if limit is None:
+        return batch
+    return batch.where(at >= F.timestamp_micros(F.lit(limit)) - F.expr(f"INTERVAL {delay}"))
+
+
 def daily_stream(stream: DataFrame, store: History, late: str = "recompute", delay: str = "1 day") -> StreamingQuery:
-    """Daily rows as readings arrive.
+    """Daily rows as readings arrive, from the last write per key.
 
     ``recompute`` accepts any lateness: touched days are aggregated again from the history.
-    ``drop`` keeps a running aggregate per site and UTC day and ignores readings older than ``delay``.
+    ``drop`` ignores readings older than the newest of earlier batches less ``delay``; where none is, both agree.
     """
     if late == "recompute":
         return run(stream, store, upsert_batch, refresh_days)
     if late != "drop":
         raise ValueError(f"late must be 'recompute' or 'drop', not {late!r}")
-    timed = stream.withColumn("at", F.col("ts").cast("timestamp")).withWatermark("at", delay)
-    running = daily.daily_live(timed.withColumn("day", F.window("at", "1 day")), date="day")
-    dated = running.withColumn("date", F.to_date("day.start")).drop("day")
 
-    def each(batch: DataFrame, batch_id: int) -> None:
-        _write_sites(batch, batch_id, store, "daily")
+    def kept(batch: DataFrame, batch_id: int, target: History) -> None:
+        timely = on_time(batch, batch_id, target, delay)
+        upsert_batch(timely, batch_id, target)
+        refresh_days(timely, batch_id, target)
 
-    return (
-        dated.writeStream.outputMode("update").foreachBatch(each).trigger(availableNow=True)
-        .option("checkpointLocation", store.folder("_progress")).start()
-    )
+    return run(stream, store, kept)
 
 
 def status_stream(stream: DataFrame, store: History) -> StreamingQuery:
@@ -209,12 +278,12 @@ def status_stream(stream: DataFrame, store: History) -> StreamingQuery:
 
 def score_stream(
     stream: DataFrame, store: History, model: PipelineModel, cols: list[str],
-    entries: Callable[[DataFrame, DataFrame], DataFrame],
+    entries: Callable[[DataFrame, DataFrame], DataFrame], shown: tuple[str, ...] = (),
 ) -> StreamingQuery:
     """T5: the whole live path per micro-batch."""
 
     def scored(batch: DataFrame, batch_id: int, target: History) -> None:
-        score_batch(batch, batch_id, target, model, cols, entries)
+        score_batch(batch, batch_id, target, model, cols, entries, shown)
 
     return run(stream, store, upsert_batch, refresh_days, refresh_status, scored)
 

@@ -65,19 +65,89 @@ def test_many_batches_equal_one(spark, sf, landed):
     assert stream.table(spark, fresh, "live", ["site_id"]).count() == live.count()
 
 
-def test_late_readings_can_be_dropped(spark, sf, tmp_path):
-    path = work_path(spark, "ordered")
+def _land(events, path, parts):
+    """Each part in a file of its own, in this order."""
+    for k, part in enumerate(parts):
+        events.where(part).coalesce(1).write.parquet(f"{path}/part={k}")
+    return f"{path}/*"
+
+
+def _daily(spark, sf, source, late):
+    store = stream.History(work_path(spark, "daily"))
+    stream.daily_stream(_stream(spark, sf, source), store, late=late).awaitTermination()
+    return stream.days(spark, store).select("site_id", "date", "n_readings", "temp_c_max", F.round("humidity_mean", 9).alias("h"))
+
+
+def test_late_readings_can_be_dropped(spark, sf):
     events = B.table(spark, sf, "events")
-    early, late = events.filter("ts < '2024-01-05'"), events.filter("ts >= '2024-01-20'")
-    for i, part in enumerate([early, late, early.filter("event_id < 10"), events.filter("ts >= '2024-01-29'")]):
-        part.coalesce(1).write.mode("append").parquet(path)
-    schema = events.schema
-    store = stream.History(work_path(spark, "drop"))
-    source = B.as_obs(stream.ingest(spark, path, schema, files_per_batch=1))
-    stream.daily_stream(source, store, late="drop").awaitTermination()
-    got = stream.days(spark, store)
-    total = got.agg(F.sum("n_readings")).first()[0]
-    assert total <= early.count() + late.count() + 10 + events.filter("ts >= '2024-01-29'").count()
-    assert got.filter("date >= '2024-01-20'").count() > 0
+    early, late = F.col("ts") < "2024-01-05", F.col("ts") >= "2024-01-20"
+    some = F.col("event_id") % 3 == 0
+    source = _land(events, work_path(spark, "ordered"), [early & ~some, late & ~some, some])
+    limit = events.where(late & ~some).agg(F.max("ts") - F.expr("INTERVAL 1 DAY")).first()[0]
+    kept = B.as_obs(events.where((early | late) & ~some | some & (F.col("ts") >= F.lit(limit))))
+    twin = daily.daily_live(history.latest(kept, stream.KEYS, stream.SEQ)).select(
+        "site_id", "date", "n_readings", "temp_c_max", F.round("humidity_mean", 9).alias("h"))
+    assert 0 < events.where(some & (F.col("ts") >= F.lit(limit))).count() < events.where(some).count()
+    assert _same(_daily(spark, sf, source, "drop"), twin)
     with pytest.raises(ValueError):
-        stream.daily_stream(source, store, late="maybe")
+        stream.daily_stream(_stream(spark, sf, source), stream.History(work_path(spark, "x")), late="maybe")
+
+
+def test_policies_agree_where_nothing_is_late(spark, sf):
+    events = B.table(spark, sf, "events")
+    day = F.dayofmonth("ts")
+    source = _land(events, work_path(spark, "timely"), [day <= 10, (day > 10) & (day <= 20), day > 20])
+    assert _same(_daily(spark, sf, source, "drop"), _daily(spark, sf, source, "recompute"))
+
+
+def test_replayed_batch_sees_its_own_limit(spark, sf):
+    events = B.obs(spark, sf)
+    store = stream.History(work_path(spark, "limit"))
+    first, second = events.where("ts >= '2024-01-20'"), events.where("ts < '2024-01-20'")
+    assert stream.on_time(first, 0, store, "1 day").count() == first.count()
+    assert stream.on_time(second, 1, store, "1 day").count() == 0
+    assert stream.on_time(first, 0, store, "1 day").count() == first.count()
+    assert stream.on_time(second, 1, store, "1 day").count() == 0
+
+
+def test_late_day_reaches_the_days_after_it(spark):
+    """A late day changes itself and ``REACH`` rows on, of its own site only."""
+    known = spark.range(1, 21).select(
+        F.lit(1).alias("site_id"), F.date_add(F.lit("2024-01-01"), F.col("id").cast("int")).alias("date"))
+    known = known.unionAll(known.withColumn("site_id", F.lit(2)))
+    measures = ("temp_c_max", "temp_c_min", "temp_c_mean", "pressure_hpa_mean", "pressure_hpa_min", "wind_speed_max",
+                "wind_speed_mean", "humidity_max", "humidity_mean", "precip_mm_sum", "cloud_cover_mean")
+    known = known.withColumns({c: F.dayofmonth("date").cast("double") for c in measures})
+    touched = spark.sql("SELECT 1 AS site_id, DATE '2024-01-05' AS date")
+    got = sorted((r["site_id"], r["date"].day) for r in stream.depending_days(known, touched).collect())
+    assert got == [(1, d) for d in range(5, 5 + stream.REACH + 1)]
+    # what it leaves out does not change with the day
+    other = known.withColumn("temp_c_max", F.when((F.col("site_id") == 1) & (F.dayofmonth("date") == 5), 99.0).otherwise(F.col("temp_c_max")))
+    from skyloom.operators import features
+    before, after = features.live_history(known), features.live_history(other)
+    changed = after.exceptAll(before).select("site_id", F.dayofmonth("date").alias("d")).collect()
+    assert {(r["site_id"], r["d"]) for r in changed} <= {(1, d) for d in range(5, 5 + stream.REACH + 1)}
+    assert (1, 5 + stream.REACH) in {(r["site_id"], r["d"]) for r in changed}
+
+
+def test_closest_air_document_of_a_reading_stays(spark):
+    """Two air documents lie in the bound, one outside, one elsewhere; documents without coordinates match nothing."""
+    import json
+
+    def weather(lat, dt, name):
+        return json.dumps({"coord": {"lat": lat, "lon": 1.0}, "main": {"temp": 1.0, "pressure": 1000}, "name": name, "dt": dt})
+
+    def air(lat, dt, pm):
+        return json.dumps({"coord": {"lat": lat, "lon": 1.0}, "list": [{"main": {"aqi": 1}, "components": {"pm2_5": pm}, "dt": dt}]})
+
+    at = 1_706_000_000
+    folders = work_path(spark, "w"), work_path(spark, "a")
+    rows = ([weather(5.0, at, "x"), weather(None, at, "y"), weather(6.0, at, "z")],
+            [air(5.0, at - 600, 2.0), air(5.0, at - 60, 3.0), air(5.0, at - 7200, 4.0), air(5.0, at + 60, 5.0), air(None, at, 6.0)])
+    for folder, lines in zip(folders, rows):
+        spark.createDataFrame([(r,) for r in lines], "value string").coalesce(1).write.text(folder)
+    store = stream.History(work_path(spark, "s"), keys=("city", "ts"), seq=("nearest",))
+    landed = stream.ingest_documents(spark, *folders).withColumn("nearest", -F.col("air_gap"))
+    stream.upsert_stream(landed, store).awaitTermination()
+    (row,) = stream.readings(spark, store).collect()
+    assert (row["city"], row["pm2_5"], row["air_gap"], row["visibility"], row["hour"]) == ("x", 3.0, 60, 10_000, 9)
