@@ -85,6 +85,9 @@ SPLIT_GAP = 14
 FOCAL_ALPHA = 0.80
 FOCAL_GAMMA = 1.5
 PATIENCE = 25
+EPOCHS = 150
+WEIGHT_DECAY = 1e-4
+HIDDEN_UNITS = (128, 64)
 ATTRIBUTION_ROWS = 200
 TOP_FEATURES = 10
 # thresholds 0.05, 0.06, ..., 0.89

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from skyloom import constants as K
 from skyloom.functions.calendar import asset_path
-from skyloom.ml import attribution, forest, scoring, sequence_model
+from skyloom.ml import attribution, epochs, forest, scoring, sequence_model
 from skyloom.ml.split import temporal_split
 from skyloom.operators import daily, features, history, windows
 from skyloom.plans import bridge as B
@@ -88,8 +88,30 @@ def m6_sequence_scores(spark, sf):
     return held_out.select("site_id", "date", "split", "target", "prob")
 
 
+@query("m6_epoch_history")
+def m6_epoch_history(spark, sf):
+    """The epochs of a training run over the long daily series, which fill all parts of the split."""
+    _, history_, _ = epochs.fit_epochs(durable(B.ship_days(spark, sf), "series"), ["amount", "peak"])
+    return history_
+
+
+@query("m6_split_counts", f"""{_M12[:_M12.rindex("SELECT site_id")]}, kept AS (SELECT site_id, date FROM final WHERE target IS NOT NULL),
+days AS (SELECT date, count(*) AS here FROM kept GROUP BY 1),
+placed AS (SELECT date, sum(here) OVER (ORDER BY date) - here AS position, sum(here) OVER () AS total, row_number() OVER (ORDER BY date) - 1 AS day FROM days),
+trained AS (SELECT *, count(*) FILTER (position < floor(total * {K.TRAIN_FRACTION}e0)) OVER () AS train_days FROM placed),
+parts AS (SELECT date, CASE WHEN position < floor(total * {K.TRAIN_FRACTION}e0) THEN 'train'
+  WHEN position >= floor(total * ({K.TRAIN_FRACTION}e0 + {K.VALIDATION_FRACTION}e0)) THEN 'test' WHEN day < train_days + {K.SPLIT_GAP} THEN 'gap' ELSE 'val' END AS split FROM trained),
+numbered AS (SELECT site_id, date, row_number() OVER (PARTITION BY site_id ORDER BY date) AS k FROM kept)
+SELECT split, CAST(count(*) AS BIGINT) AS n_windows FROM numbered JOIN parts USING (date) WHERE k > {K.SEQUENCE_LENGTH} GROUP BY 1""")
+def m6_split_counts(spark, sf):
+    """Windows per part of the split, as the sequence model gets them; a part may have none."""
+    table = durable(flows.sequence_features(B.readings(spark, sf)), "sequence")
+    windows_, _ = sequence_model.scaled_windows(table, list(K.SEQUENCE_FEATURES))
+    return windows_.groupBy("split").agg(F.count(F.lit(1)).alias("n_windows"))
+
+
 @query("m7_sequence_newest", _M12[:_M12.rindex("SELECT site_id")] + """SELECT site_id, max(date) AS date, true AS prob_ok,
-  true AS decided FROM final GROUP BY site_id HAVING count(*) >= 5""")
+  true AS decided FROM final GROUP BY site_id HAVING count(*) >= {length}""".replace("{length}", str(K.SEQUENCE_LENGTH)))
 def m7_sequence_newest(spark, sf):
     """What no draw decides of ``m7_sequence_decisions``, for the SQL twin."""
     decided = F.col("label_text") == F.when(F.col("prediction") == 1, K.DECISION_LABELS[1]).otherwise(K.DECISION_LABELS[0])

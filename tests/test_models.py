@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skyloom import constants as K
-from skyloom.ml import attribution, forest, scoring, sequence_model
+from skyloom.ml import attribution, epochs, forest, scoring, sequence_model
 from skyloom.operators import evaluate, features
 from skyloom.plans import flows, model_queries
 from skyloom.session import work_path
@@ -138,6 +138,7 @@ def test_queries_run_the_library_defaults(monkeypatch):
         with pytest.raises(Seen):
             query(None, None)
     assert seen == [((), {}), ((), {"kind": "logistic"})]
+    assert (K.EPOCHS, K.PATIENCE, K.HIDDEN_UNITS) == (150, 25, (128, 64))
 
 
 @pytest.mark.parametrize("name, number", [("m1_forest_probabilities", "prob"), ("m7_sequence_decisions", "prob"),
@@ -153,3 +154,57 @@ def test_queries_return_the_numbers_of_the_model(spark, sf, name, number):
     assert len(set(values)) > 1
     if name != "m1_forest_probabilities":
         assert all(r["event_type"] for r in rows)
+
+
+def _series(spark, days=240, sites=4):
+    """The day after a high value has the event; the second column is noise."""
+    import random
+
+    rng = random.Random(3)
+    rows = []
+    for site in range(sites):
+        high = 0
+        for k in range(days):
+            value = rng.random()
+            rows.append((site, dt.date(2020, 1, 1) + dt.timedelta(k), value, rng.random(), int(high)))
+            high = value > 0.8
+    return spark.createDataFrame(rows, "site_id int, date date, a double, b double, target int")
+
+
+def test_epochs_learn_stop_and_keep_the_best(spark):
+    table = _series(spark)
+    model, history_, held_out = epochs.fit_epochs(table, ["a", "b"], length=3, hidden=(8, 4), epochs=22, patience=4, rate=0.03)
+    rows = history_.orderBy("epoch").collect()
+    assert [r["epoch"] for r in rows] == list(range(1, len(rows) + 1))
+    assert rows[-1]["loss"] < rows[0]["loss"]
+    # the flags are those of W16, and no epoch follows the one that stops
+    again = evaluate.early_stop(history_.select(F.lit(0).alias("run"), "epoch", "auc_pr"), patience=4).orderBy("epoch").collect()
+    assert [(r["best"], r["since_best"], r["stopped"]) for r in rows] == [(r["best"], r["since_best"], r["stopped"]) for r in again]
+    assert all(r["stopped"] == 0 for r in rows[:-1]) and (len(rows) == 22 or rows[-1]["stopped"] == 1)
+    assert model.best_epoch == next(r["epoch"] for r in rows if r["auc_pr"] == max(q["auc_pr"] for q in rows))
+    assert model.state == "validated" and 0 < model.threshold < 1
+    test = held_out.where("split = 'test'")
+    value = evaluate.average_precision(test, label="target").first()["average_precision"]
+    assert value > 2 * test.agg(F.avg("target")).first()[0]
+    # the kept weights are those of the best epoch
+    kept = evaluate.average_precision(held_out.where("split = 'val'"), label="target").first()["average_precision"]
+    assert abs(kept - rows[model.best_epoch - 1]["auc_pr"]) < 1e-9
+
+
+def test_epochs_without_validation_windows(spark):
+    model, history_, held_out = epochs.fit_epochs(_series(spark, days=40), ["a", "b"], length=3, hidden=(4,), epochs=2)
+    assert model.state == "no validation rows" and model.threshold == K.DEFAULT_THRESHOLD and model.best_epoch == 2
+    assert history_.count() == 2 and {r["split"] for r in held_out.select("split").distinct().collect()} == {"test"}
+
+
+def test_gradient_equals_differences():
+    network = epochs.Perceptron((3, 4, 2, 1))
+    rng = np.random.default_rng(0)
+    x, y, scale = rng.normal(size=(7, 3)), np.array([0, 1, 1, 0, 1, 0, 0]), rng.random(7)
+    weights = network.start(1) + 0.1
+    got, _ = network.gradient(weights, x, y, scale, 0.8, 1.5)
+    for k in range(0, len(weights), 3):
+        step = np.zeros_like(weights)
+        step[k] = 1e-6
+        up, down = (network.gradient(weights + s, x, y, scale, 0.8, 1.5)[1] for s in (step, -step))
+        assert abs((up - down) / 2e-6 - got[k]) < 1e-5
