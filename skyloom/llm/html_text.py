@@ -1,11 +1,17 @@
 """Main text of web pages: parser events, text-to-tag ratio per line, Gaussian smoothing, threshold clustering.
 
 The standard-library parser streams start, end and text events. Every block element begins a new line; a line holds
-its text (white space as one blank), the tags met while it was filled, and how much of it is link text. What is known
-to be no article (menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, comments of readers,
-hidden parts) is skipped by element, role and class name. On the lines that remain, the ratio of text to tags is
-smoothed with a Gaussian and cut at a threshold: the lines above it are content, and so are the lines between them
-and those that share their container, so a short paragraph of an article stays.
+its text (white space as one blank), the tags met while it was filled, and how much of it is link text. Elements, roles
+and class names that say that they are no article (menus, headers, footers, sidebars, notices, adverts, forms, scripts,
+styles, comments of readers, hidden parts) are a help: what they name is not read at all.
+
+What decides is the ratio of text outside links to tags. Its logarithm is smoothed over all lines with a Gaussian; the
+values of lines that are not mostly links are split in two clusters, at the cut that leaves the least variance inside
+them; lines in the upper cluster are content.
+Where the clusters are less than a factor ``APART`` apart, all lines with text of their own are. Of the lower cluster only
+these stay: lines in the container or the article element of a content line, and lines between content lines inside the
+container of one of them, that are not mostly links, or are a single such line between others. So a title or a short
+paragraph stays with its article, and menus, link lists and footers go, whatever they are called.
 
 Defined results: a null or empty page, or one without content, gives an empty text; a page cut off anywhere is read
 as far as it goes; markup the parser rejects is read as text; lines are never capped; rows are independent.
@@ -15,6 +21,7 @@ from __future__ import annotations
 
 import re
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -26,6 +33,7 @@ from skyloom.llm.common import each, fields, query, table
 RESULT = fields(text=T.StringType(), n_chars=T.LongType())
 SIGMA = 1.0
 LINK_SHARE = 0.6
+APART = 2.0
 
 #: Fixed names of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -51,6 +59,19 @@ WRAPPER_NAMES = re.compile(
     r"\b(?:has|with|no|without)-[\w-]+|\b(?:article|post|entry|story|content)-?_?(?:header|title)\b", re.I)
 
 
+class Line(NamedTuple):
+    text: str
+    tags: int
+    link: int  # characters inside links
+    box: int  # nearest container
+    article: int  # outermost article element
+    marked: bool  # inside an article or main part
+
+    @property
+    def linked(self) -> bool:
+        return self.link >= LINK_SHARE * len(self.text)
+
+
 class _Lines(HTMLParser):
     """Collects lines from parser events."""
 
@@ -61,26 +82,26 @@ class _Lines(HTMLParser):
         self.opened = 0
         self.articles = 0
         self.links = 0
-        self.lines: list[tuple[str, int, int, int]] = []  # text, tags, link characters, container
+        self.lines: list[Line] = []
         self.parts: list[str] = []
         self.tags = self.link_chars = 0
-        self.inside: set[int] = set()  # containers that are articles
+        self.above: dict[int, int] = {0: 0}  # container around each container
 
     # ------------------------------------------------------------------ lines
-    def container(self) -> int:
-        """The outermost open article or main part, else the nearest container."""
-        near = 0
+    def places(self) -> tuple[int, int, bool]:
+        """The nearest container, the outermost open article, and whether that or a main part is open (0: none)."""
+        near = article = 0
+        marked = False
         for tag, number in self.stack:
-            if tag in ("article", "main"):
-                return number
-            if tag in CONTAINER:
-                near = number
-        return near
+            near = number if tag in CONTAINER else near
+            article = article or (number if tag == "article" else 0)
+            marked |= tag in ("article", "main")
+        return near, article, marked
 
     def end_line(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            self.lines.append((text, self.tags, self.link_chars, self.container()))
+            self.lines.append(Line(text, self.tags, self.link_chars, *self.places()))
             self.tags = 0
         self.parts, self.link_chars = [], 0
 
@@ -127,6 +148,8 @@ class _Lines(HTMLParser):
         skip = self.skip_from < 0 and (
             self.unwanted(tag, attrs) or tag == "article" and self.comment(attrs)
         )
+        if tag in CONTAINER:
+            self.above[self.opened] = self.places()[0]
         self.stack.append((tag, self.opened))
         if skip:
             self.end_line()
@@ -134,7 +157,6 @@ class _Lines(HTMLParser):
         elif self.skip_from < 0:
             if tag in ("article", "main"):
                 self.articles += 1
-                self.inside.add(self.opened)
             self.links += tag == "a"
 
     @staticmethod
@@ -173,8 +195,8 @@ class _Lines(HTMLParser):
                 self.link_chars += len(data.strip())
 
 
-def page_lines(html: str) -> tuple[list[tuple[str, int, int, int]], set[int]]:
-    """Lines of a page, and the containers that are articles."""
+def page_lines(html: str) -> tuple[list[Line], dict[int, int]]:
+    """Lines of a page, and the container around each container."""
     parser = _Lines()
     try:
         parser.feed(html)
@@ -184,7 +206,7 @@ def page_lines(html: str) -> tuple[list[tuple[str, int, int, int]], set[int]]:
         parser.feed(re.sub(r"<!\[", "&lt;![", html))
         parser.close()
     parser.end_line()
-    return parser.lines, parser.inside
+    return parser.lines, parser.above
 
 
 def smooth(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -195,24 +217,58 @@ def smooth(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return total / np.convolve(np.ones(len(ratios)), kernel)[radius:radius + len(ratios)]
 
 
+def cluster_threshold(values: np.ndarray) -> float:
+    """Least value of the upper of two clusters: the cut of the sorted values with the least variance inside the parts.
+
+    Where the means of the parts are less than ``APART`` (of ratios; these are logarithms) apart, all values are one cluster.
+    """
+    x = np.sort(values)
+    if x[0] == x[-1]:
+        return float(x[0])
+    n, k = len(x), np.arange(1, len(x))
+    below = np.cumsum(x)[:-1]
+    above = x.sum() - below
+    at = int(np.argmax(below ** 2 / k + above ** 2 / (n - k)))  # least variance inside is most between
+    apart = above[at] / (n - 1 - at) - below[at] / (at + 1)
+    return float(x[at + 1] if apart >= np.log(APART) else x[0])
+
+
+def content_lines(lines: list[Line]) -> np.ndarray:
+    """Which lines are content by the clusters of their smoothed ratios."""
+    own = np.array([max(0, len(x.text) - x.link) / max(1, x.tags) for x in lines], dtype=float)
+    ratios, free = smooth(np.log1p(own)), ~np.array([x.linked for x in lines])
+    return free & (ratios >= cluster_threshold(ratios[free]) - 1e-9) if free.any() else free
+
+
 def extract(html: str | None) -> str:
     """Main text of one page."""
     if not html:
         return ""
-    lines, articles = page_lines(html)
-    wanted = [k for k, (text, _, link, box) in enumerate(lines) if box in articles or link < LINK_SHARE * len(text)]
-    if not wanted:
+    lines, above = page_lines(html)
+    if any(x.marked and not x.linked for x in lines):  # the page says where its article is
+        lines = [x for x in lines if x.marked]
+    if not lines:
         return ""
-    if any(lines[k][3] in articles for k in wanted):  # the page says where its article is
-        wanted = [k for k in wanted if lines[k][3] in articles]
-    ratios = smooth(np.array([len(lines[k][0]) / max(1, lines[k][1]) for k in wanted], dtype=float))
-    content = ratios >= min(ratios.std(), ratios.max())
-    boxes = {lines[k][3] for k, yes in zip(wanted, content) if yes}
+    content = content_lines(lines)
+    boxes = {x.box for x, yes in zip(lines, content) if yes}
+    articles = {x.article for x, yes in zip(lines, content) if yes} - {0}
+
+    def within(box: int) -> bool:
+        """Is a container that holds content itself around this one?"""
+        while box and box not in boxes:
+            box = above[box]
+        return box in boxes
+
     at = np.flatnonzero(content)
-    keep = [
-        k for place, k in enumerate(wanted) if at[0] <= place <= at[-1] or lines[k][3] in boxes
-    ]
-    return "\n\n".join(lines[k][0] for k in keep)
+    keep = content.copy()
+    for k, x in enumerate(lines):
+        if not content[k] and not x.linked:
+            between = len(at) and at[0] < k < at[-1]
+            keep[k] = x.box in boxes or x.article in articles or between and within(x.box)
+    for k in range(1, len(lines) - 1):  # a line that is one link, in the midst of others
+        if lines[k].linked and keep[k - 1] and keep[k + 1] and lines[k].box == lines[k - 1].box == lines[k + 1].box:
+            keep[k] = True
+    return "\n\n".join(x.text for x, yes in zip(lines, keep) if yes)
 
 
 def main_text(html: Column) -> Column:

@@ -217,6 +217,48 @@ def test_smoothing_is_a_weighted_mean():
     assert out[0] == pytest.approx(want) and len(out) == 4
 
 
+def test_cluster_threshold_is_the_best_cut():
+    rng = random.Random(4)
+    for _ in range(200):
+        values = np.array([rng.choice([rng.random(), 5 + rng.random()]) for _ in range(rng.randint(2, 12))])
+        x = sorted(values)
+        cuts = [(np.var(x[:k]) * k + np.var(x[k:]) * (len(x) - k), k) for k in range(1, len(x))]
+        k = min(cuts)[1]
+        apart = np.mean(x[k:]) - np.mean(x[:k]) >= math.log(html_text.APART)
+        assert html_text.cluster_threshold(values) == pytest.approx(x[k] if apart else x[0])
+
+
+SENTENCE = "A sentence of the article that says one thing or another at some length. "
+UNNAMED = f"""<html><body><div><a href=/>Home</a> <a href=/n>News</a></div><div><div><a href=/s>Shop</a></div><div><a href=/t>Terms</a></div></div>
+<div><p>Title here</p><p>{SENTENCE * 4}</p><p>Short.</p><p>{SENTENCE * 3}</p><ul><li>first</li><li>second</li></ul><p>{SENTENCE * 5}</p></div>
+<div><span>Some</span> <b>firm</b> <i>2024</i></div><div><a href=/x>Next story</a></div><div><a href=/y>Last story</a></div></body></html>"""
+WANTED = ["Title here", (SENTENCE * 4).strip(), "Short.", (SENTENCE * 3).strip(), "first", "second", (SENTENCE * 5).strip()]
+
+
+@pytest.mark.parametrize("around", ["{}", "<main>{}</main>"])
+def test_unnamed_menus_and_footers_go(around, monkeypatch):
+    """No name gives them away; without the clusters they stay."""
+    page = around.format(UNNAMED)
+    assert html_text.extract(page) == "\n\n".join(WANTED)
+    monkeypatch.setattr(html_text, "content_lines", lambda lines: np.ones(len(lines), dtype=bool))
+    assert "firm" in html_text.extract(page) and "Home" in html_text.extract(page)
+
+
+def test_pages_of_every_kind_through_spark(spark):
+    """Nulls, empty and very long pages, repeated rows, columns with clashing names, an empty table."""
+    long = "<article>" + f"<p>{SENTENCE}</p>" * 5_000 + "</article>"
+    rows = [(1, "u", UNNAMED), (1, "u", UNNAMED), (2, None, None), (None, "n", ""), (3, "l", long), (4, "m", "<p>only</p>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns(
+        {c: F.lit(1) for c in ("text", "n_chars", "m", "row")})
+    got = html_text.extract_pages(pages)
+    found = Counter((r["page_id"], r["main"]["text"], r["main"]["n_chars"]) for r in got.collect())
+    whole = "\n\n".join([SENTENCE.strip()] * 5_000)
+    first = "\n\n".join(WANTED)
+    assert found == Counter({(1, first, len(first)): 2, (2, "", 0): 1, (None, "", 0): 1, (3, whole, len(whole)): 1, (4, "only", 4): 1})
+    assert {"text", "n_chars", "m", "row"} <= set(got.columns)
+    assert html_text.extract_pages(pages.where("false")).count() == 0
+
+
 def test_article_pages_whole(spark, sf):
     rows = html_text.extract_pages(spark.read.parquet(f"{sf}/pages.parquet")).select("url", "main.*").collect()
     assert all(len(r["text"]) == r["n_chars"] > 0 for r in rows)
