@@ -16,6 +16,8 @@ repeated rows are documents of their own; other columns do not take part; an emp
 
 from __future__ import annotations
 
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -35,12 +37,18 @@ CAPACITY = 2048
 SEPARATOR = 0
 GROUP = 250_000  # pieces that a group packs
 FAN_IN = 16
-KEPT_BYTES = 48 << 20  # words and ids kept per worker; a full store starts anew
-LONG_WORD = 64  # longer words are encoded each time
+KEPT_BYTES = 48 << 20  # pieces and ids kept per worker; a full store starts anew
+LONG_PIECE = 64  # longer pieces are encoded each time
 
+#: How the vocabulary parts lower-case text, for ASCII and the letters of Latin-1; blanks are dropped. Every such
+#: character is composed already and has one lower-case form. Words with others, or with special tokens, go to the library.
+PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^ \t\n\v\f\ra-z0-9ß-öø-ÿ]+")
+OTHER = re.compile("[^\x00-\x7fÀ-ÖØ-öø-ÿ]|<\\|")
+BLANKS = re.compile("[ \t\n\v\f\r]+")
 
-class WordIds:
-    """Token ids by word, for tokenizers that part texts at blanks and drop these."""
+
+class PieceIds:
+    """Token ids of whole texts, with those of frequent pieces (words, digits, marks) kept per worker."""
 
     def __init__(self, path: str):
         import os
@@ -49,34 +57,50 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.kept: dict[bytes, bytes] = {}
+        self.model, self.as_bytes = self.tokenizer.model, self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.kept: dict[str, bytes] = {}
         self.size = 0
 
-    def encode(self, words: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+    def split(self, text: str) -> list[str]:
+        if not OTHER.search(text):
+            return PIECES.findall(text.lower())
+        out: list[str] = []
+        for word in BLANKS.split(text):
+            if OTHER.search(word):
+                out.append(word)
+            else:
+                out += PIECES.findall(word.lower())
+        return out
+
+    def encode(self, piece: str) -> bytes:
+        if OTHER.search(piece):
+            ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
+        else:
+            if not (piece.isascii() and piece.isprintable()):
+                piece = self.as_bytes(piece)[0][0]
+            ids = [t.id for t in self.model.tokenize(piece)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def ids(self, text: str | None) -> bytes:
         """Ids of a whole text as little-endian 32-bit numbers."""
-        words = text.encode().split() if text else []
-        missing = [w for w in set(words) if w not in self.kept]
-        if missing:
-            if self.size > KEPT_BYTES:
-                self.kept, self.size = {}, 0
-                missing = list(set(words))
-            new = dict(zip(missing, self.encode(missing)))
-            short = {w: i for w, i in new.items() if len(w) <= LONG_WORD}
-            self.kept |= short
-            self.size += sum(len(w) + len(i) + 150 for w, i in short.items())
-            if len(short) < len(new):
-                kept = self.kept
-                return b"".join([kept[w] if w in kept else new[w] for w in words])
-        return b"".join(map(self.kept.__getitem__, words))
+        found = self.split(text) if text else []
+        if self.size > KEPT_BYTES:
+            self.kept, self.size = {}, 0
+        kept, out = self.kept, []
+        for piece in found:
+            ids = kept.get(piece)
+            if ids is None:
+                ids = self.encode(piece)
+                if len(piece) <= LONG_PIECE:
+                    kept[piece] = ids
+                    self.size += len(piece) + len(ids) + 150
+            out.append(ids)
+        return b"".join(out)
 
 
 @cache
-def word_ids(path: str) -> WordIds:
-    return WordIds(path)
+def piece_ids(path: str) -> PieceIds:
+    return PieceIds(path)
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -95,11 +119,11 @@ def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     end = np.array([separator], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = word_ids(path)
+        known = piece_ids(path)
         for batch in batches:
             rows, cuts = [], []
             for k, text in enumerate(batch.column(1).to_pylist()):
-                data = words.ids(text) + end
+                data = known.ids(text) + end
                 for number, at in enumerate(range(0, len(data), 4 * capacity)):
                     part = data[at:at + 4 * capacity]
                     rows.append(k)
