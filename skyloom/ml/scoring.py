@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyloom import constants as K
@@ -46,6 +46,33 @@ def point_estimate(df: DataFrame, date: str = "date", keep: tuple[str, ...] = ("
     return df.select(*keep, *[made[c].alias(c) for c in K.FOREST_FEATURES])
 
 
+RECENT_DAYS = K.MIN_DAYS_ROLLING
+STORED_DAYS = K.MIN_DAYS_FULL
+
+
+def evidence(days: DataFrame, stored: DataFrame, newest: Column, site: str = "site_id", date: str = "date") -> DataFrame:
+    """M9: per site what its daily and stored rows are worth on the day ``newest``.
+
+    ``recent_days``: days on record among the last ``RECENT_DAYS``; ``stored_age``: days since its newest stored row. A live
+    row needs all recent days, a stored row may be ``STORED_DAYS`` old: ``has_history``, ``has_stored``.
+    """
+    recent = days.groupBy(site).agg(F.count_distinct(
+        F.when(F.col(date) > F.date_sub(newest, RECENT_DAYS), F.col(date))).alias("recent_days"))
+    aged = stored.groupBy(site).agg(F.min(F.datediff(newest, F.col(date))).alias("stored_age"))
+    return recent.join(aged, site, "full").select(
+        site, F.coalesce("recent_days", F.lit(0)).alias("recent_days"), "stored_age",
+        (F.coalesce("recent_days", F.lit(0)) >= RECENT_DAYS).alias("has_history"),
+        F.coalesce(F.col("stored_age") <= STORED_DAYS, F.lit(False)).alias("has_stored"))
+
+
+def by_evidence(days: DataFrame, stored: DataFrame, live: DataFrame, newest: Column, site: str = "site_id",
+                date: str = "date") -> tuple[DataFrame, DataFrame]:
+    """Live and stored rows of the sites whose evidence allows them, as ``choose_input`` takes them."""
+    known = evidence(days, stored, newest, site, date)
+    return (live.join(known.where("has_history").select(site), site, "left_semi"),
+            stored.join(known.where("has_stored").select(site), site, "left_semi"))
+
+
 def choose_input(
     sites: DataFrame, history: DataFrame, stored: DataFrame, readings: DataFrame, site: str = "site_id",
 ) -> DataFrame:

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from skyloom import constants as K
 from skyloom.functions.calendar import asset_path
 from skyloom.ml import attribution, epochs, forest, scoring, sequence_model
 from skyloom.ml.split import temporal_split
-from skyloom.operators import daily, features, history, windows
+from skyloom.operators import daily, evaluate, features, history, windows
 from skyloom.plans import bridge as B
 from skyloom.plans import flows
 from skyloom.plans.daily_queries import _M11, _M12, LIVE_HISTORY
@@ -20,7 +19,7 @@ from skyloom.streaming import history as stream
 TREES, DEPTH = K.FOREST_TREES, K.FOREST_DEPTH
 COLS = list(K.FOREST_FEATURES)
 LIVE_ROWS = LIVE_HISTORY.removeprefix(B.OBS + ", ")
-_MODELS: dict[tuple[str, str], PipelineModel] = {}
+_MODELS: dict[tuple[str, str], object] = {}
 
 
 def _features(spark, sf):
@@ -31,6 +30,15 @@ def _model(table, trees=TREES, depth=DEPTH):
     return forest.fit_forest(table, COLS, trees=trees, depth=depth)
 
 
+def _split_model(spark, sf):
+    """The split feature table and the forest over its first 70 % of days, fitted once per application."""
+    key = spark.sparkContext.applicationId, f"{sf} split"
+    if key not in _MODELS:
+        table = durable(temporal_split(_features(spark, sf), gap=0), "split")
+        _MODELS[key] = table, _model(table.filter(F.col("split") == "train"))
+    return _MODELS[key]
+
+
 def _whole_model(spark, sf):
     """The forest over all rows of a table, fitted once per application."""
     key = spark.sparkContext.applicationId, sf
@@ -39,26 +47,31 @@ def _whole_model(spark, sf):
     return _MODELS[key]
 
 
-def _share(column):
-    """Is a probability one? The rest of a model's number depends on its random draws."""
-    return F.col(column).between(0.0, 1.0)
+FITS = 0.8
+
+
+def _fits(scored):
+    """Does a model rank the rows it learned from? A constant has 0.5 here, whatever the draws."""
+    auc = evaluate.roc_auc(scored, label="target").first()["roc_auc"]
+    return F.lit(bool(auc >= FITS))
 
 
 @query("m1_forest_scores", f"""{_M11}, kept AS (SELECT site_id, date, target FROM final
   WHERE {' AND '.join(f'{c} IS NOT NULL' for c in (*K.FOREST_FEATURES, 'target'))}),
 placed AS (SELECT *, rank() OVER (ORDER BY date) - 1 AS position, count(*) OVER () AS total FROM kept)
 SELECT site_id, date, CASE WHEN position >= floor(total * (0.7e0 + 0.1e0)) THEN 'test' ELSE 'val' END AS split, target,
-  true AS prob_ok FROM placed WHERE position >= floor(total * 0.7e0)""")
+  true AS fits FROM placed WHERE position >= floor(total * 0.7e0)""")
 def m1_forest_scores(spark, sf):
-    """What no draw decides of ``m1_forest_probabilities``, for the SQL twin."""
-    return m1_forest_probabilities(spark, sf).withColumn("prob_ok", _share("prob")).drop("prob")
+    """What no draw decides of ``m1_forest_probabilities``: rows, split, target, and that the model learned its rows."""
+    table, model = _split_model(spark, sf)
+    fits = _fits(forest.score(model, table.filter(F.col("split") == "train")))
+    return m1_forest_probabilities(spark, sf).drop("prob").withColumn("fits", fits)
 
 
 @query("m1_forest_probabilities")
 def m1_forest_probabilities(spark, sf):
     """Fit on the first 70 % of days, score the rest."""
-    table = durable(temporal_split(_features(spark, sf), gap=0), "split")
-    model = _model(table.filter(F.col("split") == "train"))
+    table, model = _split_model(spark, sf)
     scored = forest.score(model, table.filter(F.col("split") != "train"))
     return scored.select("site_id", "date", "split", "target", "prob")
 
@@ -110,13 +123,12 @@ def m6_split_counts(spark, sf):
     return windows_.groupBy("split").agg(F.count(F.lit(1)).alias("n_windows"))
 
 
-@query("m7_sequence_newest", _M12[:_M12.rindex("SELECT site_id")] + """SELECT site_id, max(date) AS date, true AS prob_ok,
-  true AS decided FROM final GROUP BY site_id HAVING count(*) >= {length}""".replace("{length}", str(K.SEQUENCE_LENGTH)))
+@query("m7_sequence_newest", _M12[:_M12.rindex("SELECT site_id")] + """SELECT site_id, max(date) AS date, true AS decided FROM final GROUP BY site_id HAVING count(*) >= {length}""".replace("{length}", str(K.SEQUENCE_LENGTH)))
 def m7_sequence_newest(spark, sf):
-    """What no draw decides of ``m7_sequence_decisions``, for the SQL twin."""
-    decided = F.col("label_text") == F.when(F.col("prediction") == 1, K.DECISION_LABELS[1]).otherwise(K.DECISION_LABELS[0])
-    return m7_sequence_decisions(spark, sf).select(
-        "site_id", "date", _share("prob").alias("prob_ok"), decided.alias("decided"))
+    """What no draw decides of ``m7_sequence_decisions``, for the SQL twin: the sites, and decisions that follow the threshold."""
+    decided = (F.col("prob") >= F.round("threshold", 4)) == (F.col("prediction") == 1)
+    named = F.col("label_text") == F.when(F.col("prediction") == 1, K.DECISION_LABELS[1]).otherwise(K.DECISION_LABELS[0])
+    return m7_sequence_decisions(spark, sf).select("site_id", "date", (decided & named).alias("decided"))
 
 
 @query("m7_sequence_decisions")
@@ -130,20 +142,30 @@ def m7_sequence_decisions(spark, sf):
 
 
 def _fallback_inputs(spark, sf):
-    """Sites by what they have: recent history, a stored feature row, or one reading only."""
+    """Sites with what they have on the newest day: live features, features stored a week before, a last reading."""
     obs = B.obs(spark, sf)
-    recent = obs.filter(F.col("kind") == "signup").filter(F.col("date") >= "2024-01-29")
-    live = features.live_features(daily.daily_live(recent))
-    stored = windows.last_row(features.live_history(daily.daily_live(
-        obs.filter((F.col("kind") == "purchase") & (F.col("date") >= "2024-01-28")))))
-    last = history.latest(obs, ["site_id"], ["ts", "event_id"])
-    return obs, live, stored, last
-
-
-_CHOICE = f"""WITH {B.OBS}, choice AS (SELECT DISTINCT site_id, CASE
-  WHEN site_id IN (SELECT site_id FROM obs WHERE kind = 'signup' AND date >= DATE '2024-01-29') THEN 'history'
-  WHEN site_id IN (SELECT site_id FROM obs WHERE kind = 'purchase' AND date >= DATE '2024-01-28') THEN 'stored'
-  ELSE 'reading' END AS source FROM obs)"""
+    days = durable(daily.daily_live(obs), "days")
+    newest = days.agg(F.max("date")).scalar()
+    older = days.where(F.col("date") <= F.date_sub(newest, scoring.RECENT_DAYS))
+    stored = windows.last_row(features.live_history(older))
+    live, stored = scoring.by_evidence(days, stored, features.live_features(days), newest)
+    return obs, live, stored, history.latest(obs, ["site_id"], ["ts", "event_id"])
+
+
+_RULES = f"""CASE WHEN {{tmax}} >= {K.RULE_HEAT_C}e0 THEN 'heat' WHEN {{tmin}} <= {K.RULE_COLD_C}e0 THEN 'cold'
+  WHEN {{wind}} >= {{limit}}e0 THEN 'wind' WHEN {{cloud}} > {K.RULE_CLOUD_PCT}e0 AND {{humid}} > {K.RULE_HUMIDITY_PCT}e0 THEN 'rain' ELSE 'none' END"""
+_DAY_RULES = _RULES.format(tmax="temp_c_max", tmin="temp_c_min", wind="wind_speed_max", limit=K.RULE_WIND_HISTORY_MS,
+                           cloud="cloud_cover_mean * 100e0", humid="humidity_mean")
+_READING_RULES = _RULES.format(
+    tmax=f"temperature + {K.POINT_TEMP_ABOVE}e0", tmin=f"temperature - {K.POINT_TEMP_BELOW}e0",
+    wind=f"wind_speed * {K.POINT_WIND_GUST}e0", limit=K.RULE_WIND_READING_MS, cloud="clouds", humid="humidity")
+_CHOICE = f"""WITH {B.DAILY_LIVE}, newest AS (SELECT max(date) AS day FROM daily),
+recent AS (SELECT site_id, count(*) FILTER (date > day - {scoring.RECENT_DAYS}) AS recent_days,
+  max(date) FILTER (date <= day - {scoring.RECENT_DAYS}) AS stored_on, max(date) AS last_on, any_value(day) AS day FROM daily, newest GROUP BY 1),
+choice AS (SELECT *, CASE WHEN recent_days >= {scoring.RECENT_DAYS} THEN 'history' WHEN day - stored_on <= {scoring.STORED_DAYS} THEN 'stored'
+  ELSE 'reading' END AS source FROM recent),
+rows AS (SELECT site_id, date, {_DAY_RULES} AS event_type FROM daily),
+last AS (SELECT site_id, {_READING_RULES} AS event_type FROM obs QUALIFY row_number() OVER (PARTITION BY site_id ORDER BY ts DESC, event_id DESC) = 1)"""
 
 
 @query("m9_fallback_choice", f"{_CHOICE} SELECT site_id, source FROM choice")
@@ -151,10 +173,12 @@ def m9_fallback_choice(spark, sf):
     return scoring.choose_input(*_fallback_inputs(spark, sf)).select("site_id", "source")
 
 
-@query("m9_fallback_scores", f"{_CHOICE} SELECT site_id, source, true AS risk_ok, true AS ready FROM choice")
+@query("m9_fallback_scores", f"""{_CHOICE} SELECT c.site_id, source, CASE source WHEN 'history' THEN h.event_type WHEN 'stored' THEN s.event_type
+  ELSE last.event_type END AS event_type, true AS ready FROM choice c JOIN rows h ON h.site_id = c.site_id AND h.date = c.last_on
+  LEFT JOIN rows s ON s.site_id = c.site_id AND s.date = c.stored_on JOIN last ON last.site_id = c.site_id""")
 def m9_fallback_scores(spark, sf):
     """What no draw decides of ``m9_fallback_risks``, for the SQL twin."""
-    return m9_fallback_risks(spark, sf).select("site_id", "source", _share("risk_score").alias("risk_ok"), "ready")
+    return m9_fallback_risks(spark, sf).drop("risk_score")
 
 
 @query("m9_fallback_risks")

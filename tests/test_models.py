@@ -208,3 +208,26 @@ def test_gradient_equals_differences():
         step[k] = 1e-6
         up, down = (network.gradient(weights + s, x, y, scale, 0.8, 1.5)[1] for s in (step, -step))
         assert abs((up - down) / 2e-6 - got[k]) < 1e-5
+
+
+def test_evidence_decides_the_fallback(spark):
+    """Seven days in a row, a stored row of two weeks, an older one, and a site with nothing but one old reading."""
+    def day(k):
+        return dt.date(2024, 3, 1) + dt.timedelta(k)
+
+    seen = [(1, day(k)) for k in range(24, 31)] + [(2, day(k)) for k in (10, 17, 24, 30)] + [(3, day(30)), (4, day(1))]
+    days = spark.createDataFrame(seen + [(1, day(30))], "site_id int, date date")
+    stored = spark.createDataFrame([(1, day(23)), (2, day(17)), (2, day(16)), (3, day(15))], "site_id int, date date")
+    newest = F.lit(day(30))
+    got = {r["site_id"]: tuple(r)[1:] for r in scoring.evidence(days, stored, newest).collect()}
+    assert got == {1: (7, 7, True, True), 2: (2, 13, False, True), 3: (1, 15, False, False), 4: (0, None, False, False)}
+    live, kept = scoring.by_evidence(days, stored, days, newest)
+    assert {r["site_id"] for r in live.collect()} == {1} and {r["site_id"] for r in kept.collect()} == {1, 2}
+    assert scoring.evidence(days.where("false"), stored.where("false"), newest).count() == 0
+
+
+def test_a_constant_model_does_not_fit(spark):
+    rows = [(i % 2, 0.5, float(i % 2)) for i in range(20)]
+    df = spark.createDataFrame(rows, "target int, prob double, good double")
+    assert df.select(model_queries._fits(df)).first()[0] is False
+    assert df.select(model_queries._fits(df.withColumn("prob", F.col("good")))).first()[0] is True
