@@ -9,6 +9,20 @@ from pyspark.sql import functions as F
 
 from skyloom import constants as K
 from skyloom.operators.ranking import date_positions
+from skyloom.session import durable
+
+
+MOST_DATES = 100_000  # rows of a date table that is sent to every task: almost three centuries
+
+
+def with_dates(df: DataFrame, dates: DataFrame, date: str = "date") -> DataFrame:
+    """``df`` with the columns of a table that has one row per date.
+
+    Such a table grows with the calendar, not with the data. It is counted, and broadcast up to ``MOST_DATES`` rows, so that the
+    rows of ``df`` stay where they are.
+    """
+    dates = durable(dates, "dates")
+    return df.join(F.broadcast(dates) if dates.count() <= MOST_DATES else dates, date)
 
 
 def with_position(df: DataFrame, site: str | None = None, date: str = "date") -> DataFrame:
@@ -24,7 +38,7 @@ def with_position(df: DataFrame, site: str | None = None, date: str = "date") ->
             "position": (F.row_number().over(w.orderBy(date)) - 1).cast("long"),
             "total": F.count(F.lit(1)).over(w),
         })
-    return df.join(date_positions(df, date), date)
+    return with_dates(df, date_positions(df, date), date)
 
 
 def fold_column(k: int, position: str = "position", total: str = "total") -> Column:
@@ -69,7 +83,7 @@ def temporal_split(
             "_day": F.row_number().over(every.orderBy(date)) - 1,
             "_train_days": F.count(F.when(at < train_end, True)).over(every),
         })
-        placed = df.join(dates, date)
+        placed = with_dates(df, dates, date)
     else:
         placed = with_position(df, site, date).withColumns({"_day": at, "_train_days": train_end})
     return placed.withColumn(

@@ -25,34 +25,48 @@ def merge_grid(instant: DataFrame, accum: DataFrame) -> DataFrame:
     return instant.join(accum, ["valid_time", "latitude", "longitude"], "inner")
 
 
-def box_cells(cells: DataFrame, sites: list[tuple]) -> DataFrame:
-    """``site_id, latitude, longitude`` of the grid cells in each box ``(site_id, north, west, south, east)``.
+def boxed(df: DataFrame, boxes: DataFrame | list[tuple], tile: float = 1.0) -> DataFrame:
+    """Rows of ``df`` with the ``site_id`` of every box (``site_id, north, west, south, east``) that holds their cell.
 
-    A cell in several boxes belongs to each of them.
+    A spatial index: each box lists the tiles of ``tile`` degrees that it touches, rows meet boxes on the tile and are
+    tested exactly there. So a row is compared with the boxes of its tile only, and the plan does not grow with the number of
+    sites. A row in several boxes belongs to each of them; one in none is left out. Spark broadcasts the boxes if they are few.
     """
-    inside = [
-        F.when(F.col("latitude").between(south, north) & F.col("longitude").between(west, east), F.lit(site))
-        for site, north, west, south, east in sites
-    ]
-    return cells.select("latitude", "longitude").distinct().select(
-        F.explode(F.array_compact(F.array(*inside))).alias("site_id"), "latitude", "longitude")
+    if isinstance(boxes, list):
+        kind = "string" if isinstance(boxes[0][0], str) else "int"
+        boxes = df.sparkSession.createDataFrame(
+            [(s, *map(float, edges)) for s, *edges in boxes],
+            f"site_id {kind}, north double, west double, south double, east double")
+
+    def tiles(low, high):
+        return F.explode(F.sequence(F.floor(F.col(low) / tile), F.floor(F.col(high) / tile)))
+
+    listed = boxes.where("south <= north AND west <= east").withColumn("_ty", tiles("south", "north")).withColumn(
+        "_tx", tiles("west", "east"))
+    placed = df.withColumns({"_ty": F.floor(F.col("latitude") / tile), "_tx": F.floor(F.col("longitude") / tile)})
+    inside = F.col("latitude").between(F.col("south"), F.col("north")) & F.col("longitude").between(F.col("west"), F.col("east"))
+    return placed.join(listed, ["_ty", "_tx"]).where(inside).drop("_ty", "_tx", "north", "west", "south", "east")
+
+
+def box_cells(cells: DataFrame, sites: DataFrame | list[tuple], tile: float = 1.0) -> DataFrame:
+    """``site_id, latitude, longitude`` of the grid cells in each box."""
+    return boxed(cells.select("latitude", "longitude").distinct(), sites, tile).select("site_id", "latitude", "longitude")
 
 
 def grid_mean(
-    df: DataFrame, sites: list[tuple] | None = None, cells: DataFrame | None = None, time: str = "valid_time",
+    df: DataFrame, sites: DataFrame | list[tuple] | None = None, cells: DataFrame | None = None, time: str = "valid_time",
+    tile: float = 1.0,
 ) -> DataFrame:
     """A1: spatial mean per time step, optionally per site.
 
-    ``cells`` says which cells make up a site (see ``box_cells``); ``sites`` are boxes. Membership
-    is worked out once per cell, not per row and box. Partial aggregation runs before the shuffle,
-    so a site with many cells is no hot key.
+    ``sites`` are boxes, as a table or a list; ``cells`` instead says which cells make up a site. Partial aggregation runs
+    before the shuffle, so a site with many cells is no hot key.
     """
     means = [F.avg(c).alias(c) for c in df.columns if c not in (time, "latitude", "longitude")]
-    if cells is None and not sites:
+    if cells is None and sites is None:
         return df.groupBy(time).agg(*means)
-    if cells is None:
-        cells = box_cells(df, sites)
-    return df.join(cells, ["latitude", "longitude"]).groupBy("site_id", time).agg(*means)
+    joined = boxed(df, sites, tile) if cells is None else df.join(cells, ["latitude", "longitude"])
+    return joined.groupBy("site_id", time).agg(*means)
 
 
 def drop_untimed(df: DataFrame, ts: str = "ts") -> DataFrame:

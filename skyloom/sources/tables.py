@@ -18,8 +18,15 @@ def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_daily_csv(spark: SparkSession, path: str, extra: str | None = None) -> DataFrame:
-    """Daily history from CSV, dates parsed; ``extra`` puts key columns (DDL) in front."""
-    return spark.read.schema(_keyed(schemas.DAILY_HISTORY, extra)).option("header", True).csv(path)
+    """Daily history from CSV, in one file or by date, dates parsed; ``extra`` puts key columns (DDL) in front."""
+    schema = _keyed(schemas.DAILY_HISTORY, extra)
+    return spark.read.schema(schema).option("header", True).csv(path).select(*schema.fieldNames())
+
+
+def write_daily_csv(df: DataFrame, path: str, date: str = "date") -> None:
+    """Daily history as CSV; a write replaces the dates that occur in ``df`` and no others."""
+    df.hint("rebalance", date).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option(
+        "header", True).partitionBy(date).csv(path)
 
 
 def _keyed(schema: T.StructType, extra: str | None) -> T.StructType:

@@ -134,7 +134,7 @@ def test_queries_run_the_library_defaults(monkeypatch):
                         (flows, "sequence_daily"), (features, "add_sequence_features"), (features, "sequence_targets")):
         monkeypatch.setattr(where, name, lambda *args: None)
     monkeypatch.setattr(sequence_model, "fit_sequence", fit)
-    for query in (model_queries.m6_sequence_scores, model_queries.m7_sequence_newest):
+    for query in (model_queries.m6_sequence_scores, model_queries.m7_sequence_decisions):
         with pytest.raises(Seen):
             query(None, None)
     assert seen == [((), {}), ((), {"kind": "logistic"})]

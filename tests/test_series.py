@@ -118,6 +118,21 @@ def test_grid_boxes_and_merge(spark):
     assert (whole["ts"], whole["temp_k"]) == (t, 15.0)
 
 
+def test_boxes_equal_plain_comparison(spark):
+    """Overlapping, empty, huge and point-sized boxes; cells on edges, below zero and nowhere; tiles of any size."""
+    rng = np.random.default_rng(6)
+    cells = [(float(a), float(b)) for a, b in rng.integers(-40, 40, (300, 2)) / 4] + [(90.0, -180.0)]
+    boxes = [(k, *sorted(rng.integers(-40, 40, 2) / 4)[::-1], *rng.integers(-40, 40, 2) / 4) for k in range(40)]
+    boxes = [(k, float(n), float(min(w, e)), float(s), float(max(w, e))) for k, n, s, w, e in boxes]
+    boxes += [(40, 90.0, -180.0, -90.0, 180.0), (41, 1.0, 1.0, 1.0, 1.0), (42, 0.0, 0.0, 1.0, 1.0)]
+    df = spark.createDataFrame(cells, "latitude double, longitude double").distinct()
+    want = {(k, a, b) for a, b in cells for k, n, w, s, e in boxes if s <= a <= n and w <= b <= e}
+    table = spark.createDataFrame(boxes, "site_id int, north double, west double, south double, east double")
+    for tile, given in ((1.0, boxes), (0.25, boxes), (7.0, table)):
+        got = [tuple(r) for r in series.box_cells(df, given, tile).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+
+
 def test_zscore_modes_agree_with_pandas(spark, table):
     df = _frame(spark, table)
     for stats, want in {
