@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from skyloom import constants as K
 from skyloom.functions.calendar import asset_path
 from skyloom.ml import attribution, epochs, forest, scoring, sequence_model
-from skyloom.ml.split import temporal_split
+from skyloom.ml.split import feature_columns, temporal_split
 from skyloom.operators import daily, evaluate, features, history, windows
 from skyloom.plans import bridge as B
 from skyloom.plans import flows
@@ -43,7 +43,8 @@ def _whole_model(spark, sf):
     """The forest over all rows of a table, fitted once per application."""
     key = spark.sparkContext.applicationId, sf
     if key not in _MODELS:
-        _MODELS[key] = _model(_features(spark, sf))
+        table = _features(spark, sf)
+        _MODELS[key] = forest.fit_forest(table, feature_columns(table), trees=TREES, depth=DEPTH)
     return _MODELS[key]
 
 
@@ -76,6 +77,18 @@ def m1_forest_probabilities(spark, sf):
     return scored.select("site_id", "date", "split", "target", "prob")
 
 
+@query("s11_saved_scores", f"""{_M11}, kept AS (SELECT site_id, date, target FROM final
+  WHERE {' AND '.join(f'{c} IS NOT NULL' for c in (*K.FOREST_FEATURES, 'target'))})
+SELECT site_id, date, target, true AS same_score FROM kept""")
+def s11_saved_scores(spark, sf):
+    """The forest published, loaded again and compared on every row with the one in memory."""
+    table, model, place = _features(spark, sf), _whole_model(spark, sf), work_path(spark, "artefacts")
+    sequence_model.publish_model(place, model, COLS, spark)
+    loaded, _ = sequence_model.load_published(place, spark, COLS)
+    both = forest.score(loaded, forest.score(model, table, "before"), "after")
+    return both.select("site_id", "date", "target", (F.col("before") == F.col("after")).alias("same_score"))
+
+
 @query("m3_cv")
 def m3_cv(spark, sf):
     """One metric row per fold."""

@@ -231,3 +231,20 @@ def test_a_constant_model_does_not_fit(spark):
     df = spark.createDataFrame(rows, "target int, prob double, good double")
     assert df.select(model_queries._fits(df)).first()[0] is False
     assert df.select(model_queries._fits(df.withColumn("prob", F.col("good")))).first()[0] is True
+
+
+def test_published_versions(spark, planted):
+    """The newest pointer counts; a version without one is not seen; other features are an error."""
+    place = work_path(spark, "published")
+    small, large = (forest.fit_forest(planted, COLS, trees=n, depth=2) for n in (1, 3))
+    sequence_model.publish_model(place, small, COLS, spark)
+    last = sequence_model.publish_model(place, large, COLS, spark, note="x")
+    sequence_model.save_model(f"{place}/versions/unfinished", small, COLS, spark)
+    model, meta = sequence_model.load_published(place, spark, COLS)
+    assert model.stages[-1].getNumTrees == 3 and meta == {"cols": COLS, "note": "x"} and last in spark.read.parquet(
+        f"{place}/published").toPandas()["version"].tolist()
+    with pytest.raises(ValueError):
+        sequence_model.load_published(place, spark, COLS[::-1])
+    sequence_model.publish_model(place, small, COLS[:2], spark)
+    with pytest.raises(ValueError):
+        sequence_model.load_published(place, spark)
