@@ -7,8 +7,10 @@ document, and Myers' bit-parallel distance verifies every hit. Verification clim
 p - 1 errors, and if they do, one half of them has no more than its own share; so a hit is checked with its neighbour
 pieces first, then with twice as many, and few false hits get as far as the whole item. Nothing true is lost.
 
-The test items are a stated query set: they are read in blocks of at most ``BLOCK_CHARS`` characters, each block is
-sent to the tasks once, and every document meets every block. Documents are never shuffled.
+The test items are a stated query set, read in blocks of about ``BLOCK_CHARS`` characters. Each block is one pass over
+the documents, and what it finds is written before the next block is read, so neither driver nor tasks hold more than
+one block, however long the benchmark is. A longer single item, and the repeats of one, lie in one block. Documents are
+never shuffled.
 
 An item is short if it has fewer than ``MIN_WORDS`` words and fewer than ``MIN_LETTERS`` letters and digits, so a passage
 without blanks is measured by its letters. Short items are searched alike, with their own error budget, zero below ten
@@ -23,15 +25,17 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import ahocorasick
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-from skyloom.llm.common import fields, query, table
+from skyloom.llm.common import fields, kept_rows, query, table
+from skyloom.session import durable
 
 ERROR_RATE = 0.1
 MIN_WORDS = 8
@@ -256,15 +260,18 @@ class Matcher:
         yield low, high
 
 
-def item_blocks(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> Iterator[list[tuple[int | None, str]]]:
-    """The query set in normal form, block by block; a block has about ``BLOCK_CHARS`` characters."""
+def known_items(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> tuple[DataFrame, int]:
+    """The query set as ``id, text`` and the number of blocks it is read in."""
     known = items.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("text IS NOT NULL")
     total = known.agg(F.sum(F.length("text"))).first()[0] or 0
-    n = max(1, math.ceil(total / BLOCK_CHARS))
-    for block in range(n):
-        rows = known.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == block).collect()
-        found = sorted(((r["id"], normal(r["text"])) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
-        yield [r for r in found if r[1]]
+    return known, max(1, math.ceil(total / BLOCK_CHARS))
+
+
+def item_block(known: DataFrame, blocks: int, block: int) -> list[tuple[int | None, str]]:
+    """One block in normal form, about ``BLOCK_CHARS`` characters; equal items share a block."""
+    rows = known.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == block).collect()
+    found = sorted(((r["id"], normal(r["text"])) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    return [r for r in found if r[1]]
 
 
 def _block_column(matcher: Matcher):
@@ -276,28 +283,27 @@ def _block_column(matcher: Matcher):
     return pandas_udf(search, T.ArrayType(HIT)).asNondeterministic()  # never run again for a filter on its result
 
 
-def hits_column(items: DataFrame, error_rate: float = ERROR_RATE):
-    """A column function text -> array of hits over all items."""
-    parts = [_block_column(Matcher(block, error_rate)) for block in item_blocks(items)]
-
-    def column(text: Column) -> Column:
-        return F.concat(*[part(text) for part in parts])
-
-    return column
-
-
 def contamination(docs: DataFrame, items: DataFrame, error_rate: float = ERROR_RATE, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
     """One row per document and item found in it: ``id_col, item_id, distance, n_errors_allowed, matched``."""
-    found = docs.select(F.col(id_col), hits_column(items, error_rate)(F.col(text_col)).alias("hits"))
-    return found.select(id_col, F.inline("hits"))
+    known, blocks = known_items(items)
+    parts = []
+    for block in range(blocks):
+        column = _block_column(Matcher(item_block(known, blocks, block), error_rate))
+        found = docs.select(F.col(id_col), column(F.col(text_col)).alias("hits")).select(id_col, F.inline("hits"))
+        parts.append(durable(found, "hits") if blocks > 1 else found)
+    return reduce(DataFrame.unionAll, parts)
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, error_rate: float = ERROR_RATE, text_col: str = "text") -> DataFrame:
     """Rows of ``docs`` in which no item is found; columns stay as they are."""
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    judged = row.select("row", hits_column(items, error_rate)(F.col(f"row.`{text_col}`")).alias("hits"))
-    return judged.where(F.size("hits") == 0).select("row.*")
+    known, blocks = known_items(items)
+    for block in range(blocks):
+        column = _block_column(Matcher(item_block(known, blocks, block), error_rate))
+        docs = kept_rows(docs, text_col, column, F.size("m") == 0)
+        if block < blocks - 1:
+            docs = durable(docs, "clean")
+    return docs
 
 
 @query("op2_decontaminate")

@@ -385,10 +385,27 @@ def test_decontamination_odd_rows(spark, odd, nothing):
 
 
 def test_item_blocks_agree(spark, sf, docs, monkeypatch):
-    items = spark.read.parquet(f"{sf}/benchmark.parquet")
-    one = Counter((r["doc_id"], r["item_id"]) for r in decontamination.contamination(docs, items).collect())
+    items = spark.read.parquet(f"{sf}/benchmark.parquet").select("item_id", "text")
+    found = decontamination.contamination(docs, items).collect()
+    clean = {r["doc_id"] for r in decontamination.drop_contaminated(docs, items).collect()}
+    made = []
+
+    class Seen(decontamination.Matcher):
+        def __init__(self, block, error_rate):
+            made.append(block)
+            super().__init__(block, error_rate)
+
     monkeypatch.setattr(decontamination, "BLOCK_CHARS", 2_000)
-    assert Counter((r["doc_id"], r["item_id"]) for r in decontamination.contamination(docs, items).collect()) == one
+    monkeypatch.setattr(decontamination, "Matcher", Seen)
+    many = decontamination.contamination(docs, items)
+    assert Counter(map(tuple, many.collect())) == Counter(map(tuple, found))
+    # every item is sent once, in blocks that stay small, and the result holds written tables instead of matchers
+    assert len(made) > 3 and sum(map(len, made)) == items.count()
+    assert max(sum(len(text) for _, text in block) for block in made) < 3 * decontamination.BLOCK_CHARS
+    assert "ArrowEvalPython" not in many._jdf.queryExecution().optimizedPlan().toString()
+    left = decontamination.drop_contaminated(docs, items)
+    assert {r["doc_id"] for r in left.collect()} == clean and left.columns == docs.columns
+    assert left._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
 
 
 # ------------------------------------------------------------------ classifier
