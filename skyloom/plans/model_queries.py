@@ -106,6 +106,21 @@ def m5_attribution(spark, sf):
     return attribution_summary(attribution.attributions(_whole_model(spark, sf), sample, COLS, ["site_id", "date"]))
 
 
+@query("m5_additivity", f"""{_M11}, kept AS (SELECT site_id, date FROM final
+  WHERE {' AND '.join(f'{c} IS NOT NULL' for c in (*K.FOREST_FEATURES, 'target'))})
+SELECT site_id, date, CAST({len(K.FOREST_FEATURES)} AS BIGINT) AS n_features, true AS additive, true AS explained FROM kept""")
+def m5_additivity(spark, sf):
+    """M5 over the whole table: do base and attributions add up to each row's own probability, and is any of them not 0?"""
+    table, model = _features(spark, sf), _whole_model(spark, sf)
+    long = attribution.attributions(model, table, COLS, ["site_id", "date"])
+    totals = long.groupBy("site_id", "date").agg(
+        F.count(F.lit(1)).alias("n_features"), (F.sum("value") + F.first("base")).alias("total"),
+        F.sum(F.abs("value")).alias("moved"))
+    return forest.score(model, table).join(totals, ["site_id", "date"]).select(
+        "site_id", "date", "n_features", (F.abs(F.col("total") - F.col("prob")) <= 1e-9).alias("additive"),
+        (F.col("moved") > 0).alias("explained"))
+
+
 @query("m6_sequence_scores")
 def m6_sequence_scores(spark, sf):
     """M6: windows of ``SEQUENCE_LENGTH`` days, perceptron, held-out scores."""

@@ -48,12 +48,14 @@ def test_attributions_add_up_and_match_enumeration(planted, model, spark):
     for r in totals.join(probs, "date").collect():
         assert r["total"] == pytest.approx(r["prob"], abs=1e-9)
 
-    leaves = attribution.leaf_paths(attribution.forest_nodes(model, spark))
+    leaves = [
+        (group.value[i], list(zip(group.feature[i], group.low[i], group.high[i], group.share[i])))
+        for group in attribution.pack_leaves(attribution.forest_nodes(model, spark), len(COLS)) for i in range(len(group.value))]
 
     def payoff(row, coalition):
         return sum(
             value * math.prod((float(lo < row[f] <= hi) if f in coalition else share) for f, lo, hi, share in path)
-            for value, _, path in leaves) / 5
+            for value, path in leaves) / 5
 
     row = sample.first()
     x = [row[c] for c in COLS]
@@ -66,6 +68,34 @@ def test_attributions_add_up_and_match_enumeration(planted, model, spark):
         assert got[name] == pytest.approx(want, abs=1e-9)
 
 
+def test_long_paths_match_enumeration():
+    """Paths of up to seven features, where the integral needs several nodes; leaves in more than one block of rows."""
+    rng = np.random.default_rng(4)
+    width = 7
+    packed = []
+    for n in (1, 4, 7):
+        low = rng.choice([-np.inf, 0.2, 0.4], (5, n))
+        packed.append(attribution.Leaves(
+            rng.random(5), np.stack([rng.permutation(width)[:n] for _ in range(5)]), low, np.full((5, n), 0.8), rng.uniform(0.01, 1.0, (5, n))))
+    x = rng.random((4, width))
+    got, base = attribution.explain(x, packed, 2)
+
+    def payoff(row, coalition):
+        return sum(
+            g.value[i] * math.prod(
+                float(g.low[i, j] < row[f] <= g.high[i, j]) if f in coalition else g.share[i, j] for j, f in enumerate(g.feature[i]))
+            for g in packed for i in range(5)) / 2
+
+    assert base == pytest.approx(payoff(x[0], set()), abs=1e-12)
+    for row, values in zip(x, got):
+        worth = {c: payoff(row, set(c)) for n in range(width + 1) for c in itertools.combinations(range(width), n)}
+        for i in range(width):
+            want = sum(
+                math.factorial(len(c)) * math.factorial(width - 1 - len(c)) / math.factorial(width)
+                * (worth[tuple(sorted((*c, i)))] - worth[c]) for c in worth if i not in c)
+            assert values[i] == pytest.approx(want, abs=1e-12)
+
+
 def test_metrics_and_model_round_trip(planted, model, spark):
     scored = forest.score(model, planted).withColumn("fold", F.lit(1))
     metrics = forest.metric_rows(scored)

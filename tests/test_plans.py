@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as entry
 from skyloom.plans import all_queries
 
-SLOW = {"s11_saved_scores", "m1_forest_scores", "m3_cv", "m5_attribution", "m6_sequence_scores", "m7_sequence_newest", "m9_fallback_scores",
+SLOW = {"s11_saved_scores", "m1_forest_scores", "m3_cv", "m5_attribution", "m5_additivity", "m6_sequence_scores", "m7_sequence_newest", "m9_fallback_scores",
         "m6_epoch_history", "m1_forest_probabilities", "m7_sequence_decisions", "m9_fallback_risks", "t1_stream_json",
         "t5_stream_risks", "t2_stream_upsert", "t3_stream_daily", "t4_stream_status", "t5_stream_archive", "t6_stream_drop_late"}
 
