@@ -117,7 +117,9 @@ def learn_profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lan
         F.sum("n").alias("n")
     )
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    return counts.withColumn("place", F.row_number().over(order) - 1).where(F.col("place") < size).drop("n")
+    # the filter is on the bare rank, so each task hands on no more than ``size`` rows of a language
+    ranked = counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= size)
+    return ranked.select("lang", "gram", (F.col("rank") - 1).alias("place"))
 
 
 def _predictor(names: list[str], places: list[tuple[np.ndarray, np.ndarray]], size: int):

@@ -12,7 +12,7 @@ per source (at most 4096 rows) show the slot where the pass ends, and that slot
 documents. A hot source costs as many rows per task and slot as any other.
 
 Defined results: a null text has size 0; a null source is a source of its own and sorts last; a source without
-words has target 0; repeated rows are documents of their own (equal ones are interchangeable); other columns do
+words has target 0; repeated rows are documents of their own (rows of one id, source, size and text are interchangeable); other columns do
 not take part. An empty table gives an empty result.
 """
 
@@ -28,7 +28,8 @@ WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 SEED = 20_240_229
 SLOT_BITS = 12
-LEVELS = 5  # 60 bits: 48 of the seeded hash, then 12 that part equal documents
+#: 72 bits: 48 of the seeded hash, 12 of the text's for rows that share id, source and size, 12 that part equal documents.
+LEVELS = 6
 FEW = 2_000
 
 
@@ -64,9 +65,9 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOC
 
 def slot(level: int):
     """Slot of a document at a level of the seeded order."""
-    word = F.col("h1") if level < LEVELS - 1 else F.col("h2")
-    shift = 64 - SLOT_BITS * (level + 1) if level < LEVELS - 1 else 64 - SLOT_BITS
-    return F.shiftrightunsigned(word, shift).bitwiseAND(F.lit((1 << SLOT_BITS) - 1).cast("long"))
+    word, shift = {LEVELS - 2: ("h2", 64 - SLOT_BITS), LEVELS - 1: ("h3", 64 - SLOT_BITS)}.get(
+        level, ("h1", 64 - SLOT_BITS * (level + 1)))
+    return F.shiftrightunsigned(F.col(word), shift).bitwiseAND(F.lit((1 << SLOT_BITS) - 1).cast("long"))
 
 
 def path(level: int):
@@ -83,13 +84,14 @@ def mix(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), id_col: str = "doc
         F.coalesce(F.concat(F.lit("="), F.col(f"`{source_col}`").cast("string")), F.lit("")).alias("key"),
         F.coalesce(F.regexp_count(F.col(f"`{text_col}`"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         F.col(f"`{id_col}`").alias("id"),
+        F.xxhash64(F.col(f"`{text_col}`")).alias("h2"),
     )
     sized = durable(
         sized.select(
             "row", "source", "key", "size", F.xxhash64(F.lit(seed), "id", "source", "size").alias("h1"),
-            F.monotonically_increasing_id().alias("uid"),
+            "h2", F.monotonically_increasing_id().alias("uid"),
         ), "mix",
-    ).withColumn("h2", F.xxhash64("uid"))
+    ).withColumn("h3", F.xxhash64("uid"))
     targets = source_targets(sized.select("key", "source", "size"), weights, max_epochs)
     goal = F.round("target").cast("long")
     state = durable(
@@ -102,7 +104,7 @@ def mix(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), id_col: str = "doc
     # Walk down to the slot where the extra pass of each source ends. ``cuts`` has one row per source that still
     # needs words: the slots above, and the words that remain when its documents' turn comes.
     cuts = state.where("need > 0").select("key", F.lit("").alias("above"), "need")
-    narrow = sized.select("key", "size", "h1", "h2")
+    narrow = sized.select("key", "size", "h1", "h2", "h3")
     passed = []
     for level in range(LEVELS):
         inside = narrow.withColumn("above", path(level)).join(cuts, ["key", "above"])
@@ -133,11 +135,11 @@ def mix(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), id_col: str = "doc
     for level in range(depth):
         full = full | ((path(level) == F.col(f"above{level}")) & (slot(level) < F.col(f"slot{level}")))
     placed = sized.join(plan, "key").select(
-        "row", "key", "size", "h1", "h2", "source_size", "target", "rest", F.col("whole").alias("times"),
+        "row", "key", "size", "h1", "h2", "h3", "source_size", "target", "rest", F.col("whole").alias("times"),
         F.coalesce(full, F.lit(False)).alias("extra"),
         F.coalesce(path(depth) == F.col("last"), F.lit(False)).alias("edge"),
     )
-    before = Window.partitionBy("key").orderBy("h1", "h2").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("key").orderBy("h1", "h2", "h3").rowsBetween(Window.unboundedPreceding, -1)
     edge = placed.where("edge").withColumn("gone", F.coalesce(F.sum("size").over(before), F.lit(0)))
     edge_part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("gone")))
     out = ["row", "size", "source_size", "target"]

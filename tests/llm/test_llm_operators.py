@@ -569,6 +569,21 @@ def test_mix_clamps_small_sources_and_hot_documents(spark, nothing, odd, monkeyp
     assert mixing.mix(odd).count() == 11
 
 
+def test_mix_of_rows_that_share_an_id_is_the_same_on_every_run(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "FEW", 3)
+    rows = [(7, f"w{k} " * 3, None, "a", 0) for k in range(60)] + [(k, "v " * 50, None, "b", 0) for k in range(9)]
+    first = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    second = spark.createDataFrame(rows[::-1], SCHEMA).coalesce(1)
+    got = [Counter(map(tuple, mixing.mix(df, ("doc_id", "text")).select("row.*", "taken").collect())) for df in (first, second)]
+    assert got[0] == got[1] and len(got[0]) == 69
+    assert len({taken for _, _, taken in got[0]}) > 1
+
+
+def test_profiles_stop_early_in_each_task(spark):
+    plan = language_id.learn_profiles(spark.createDataFrame([(1, "abc", "x", "a", 0)], SCHEMA))._jdf.queryExecution().toString()
+    assert "WindowGroupLimit" in plan
+
+
 # ------------------------------------------------------------------ similarity join
 def exact_classes(texts):
     sets = {}
