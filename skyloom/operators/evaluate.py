@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyloom import constants as K
-from skyloom.operators.ranking import cut_points, running_totals
+from skyloom.operators.ranking import running_totals
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -41,18 +41,16 @@ def describe(df: DataFrame, cols: list[str], exact: bool = True) -> DataFrame:
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols
     ])).alias("e")).select("e.*").filter(F.col("value").isNotNull())
-    moments = [
-        F.count("value").alias("count"), F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"),
-    ]
     names = [f"q{int(q * 100)}" for q in QUARTILES]
     if not exact:
         sketch = F.percentile_approx("value", list(QUARTILES), 10000)
-        return long.groupBy("column").agg(*moments, sketch.alias("_q")).select(
-            "column", "count", "mean", "std", "min",
-            *[F.element_at("_q", i + 1).alias(n) for i, n in enumerate(names)], "max")
-    cuts = dict(zip(cols, cut_points(df.select(*[F.col(c).cast("double") for c in cols]), cols)))
-    totals = running_totals(long, "value", {"n": F.count(F.lit(1))}, group="column", points=cuts)
+        return long.groupBy("column").agg(
+            F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
+            F.min("value").alias("min"), F.max("value").alias("max"), sketch.alias("_q"),
+        ).select("column", "count", "mean", "std", "min", *[F.element_at("_q", i + 1).alias(n) for i, n in enumerate(names)], "max")
+    # the table is read once; distinct values with their counts give the ranks and the moments
+    totals = running_totals(long, "value", {"n": F.count(F.lit(1))}, group="column")
+    means = totals.groupBy(F.col("column").alias("_of")).agg((F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"))
 
     def statistic(q):
         at = (F.col("all_n") - 1) * F.lit(q)
@@ -61,9 +59,11 @@ def describe(df: DataFrame, cols: list[str], exact: bool = True) -> DataFrame:
         part = F.max(at - F.floor(at))
         return low + (high - low) * part
 
-    quartiles = totals.groupBy("column").agg(*[statistic(q).alias(n) for q, n in zip(QUARTILES, names)])
-    return long.groupBy("column").agg(*moments).join(quartiles, "column").select(
-        "column", "count", "mean", "std", "min", *names, "max")
+    away = F.sum(F.col("n") * F.pow(F.col("value") - F.col("mean"), F.lit(2.0)))
+    return totals.join(F.broadcast(means), F.col("column") == F.col("_of")).groupBy("column").agg(
+        F.sum("n").alias("count"), F.first("mean").alias("mean"),
+        F.sqrt(away / F.nullif(F.sum("n") - 1, F.lit(0))).alias("std"), F.min("value").alias("min"),
+        *[statistic(q).alias(n) for q, n in zip(QUARTILES, names)], F.max("value").alias("max"))
 
 
 # ---------------------------------------------------------------- thresholded metrics
@@ -187,33 +187,33 @@ def tuned_fbeta(validation: DataFrame, test: DataFrame, beta: float = 1.0, prob:
 
 
 # ---------------------------------------------------------------- ranked metrics
-def _by_score(df: DataFrame, prob: str, label: str, by: str | None, descending: bool, points) -> DataFrame:
+def _by_score(df: DataFrame, prob: str, label: str, by: str | None, descending: bool) -> DataFrame:
     scored = df.filter(F.col(prob).isNotNull() & F.col(label).isNotNull())
     return running_totals(
         scored, prob,
         {"pos": F.count_if(F.col(label) == 1), "neg": F.count_if(F.col(label) == 0)},
-        group=by, points=points, descending=descending,
+        group=by, descending=descending,
     )
 
 
 def roc_auc(
-    df: DataFrame, prob: str = "prob", label: str = "label", by: str | None = None, points: list[float] | None = None,
+    df: DataFrame, prob: str = "prob", label: str = "label", by: str | None = None,
 ) -> DataFrame:
     """Exact rank statistic with ties counted half; 0.5 when a class is absent."""
     below = F.col("cum_neg") - F.col("neg")
     wins = F.sum(F.col("pos") * (below + F.col("neg") / F.lit(2.0)))
     pairs = F.sum("pos").cast("double") * F.sum("neg")
-    return _grouped(_by_score(df, prob, label, by, False, points), by, _ratio(wins, pairs, 0.5).alias("roc_auc"))
+    return _grouped(_by_score(df, prob, label, by, False), by, _ratio(wins, pairs, 0.5).alias("roc_auc"))
 
 
 def average_precision(
-    df: DataFrame, prob: str = "prob", label: str = "label", by: str | None = None, points: list[float] | None = None,
+    df: DataFrame, prob: str = "prob", label: str = "label", by: str | None = None,
 ) -> DataFrame:
     """Step-form area under precision-recall; 0 when a class is absent."""
     precision = F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))
     area = F.sum(F.col("pos") * precision) / F.nullif(F.sum("pos").cast("double"), F.lit(0.0))
     return _grouped(
-        _by_score(df, prob, label, by, True, points), by,
+        _by_score(df, prob, label, by, True), by,
         F.when(F.sum("neg") > 0, F.coalesce(area, F.lit(0.0))).otherwise(F.lit(0.0)).alias("average_precision"))
 
 

@@ -58,15 +58,31 @@ def test_metrics_per_group(spark):
 
 
 def test_running_totals_do_not_depend_on_the_cuts(spark):
-    values = [random.Random(2).choice([1.0, 2.0, 2.5, 7.0, 9.0]) for _ in range(200)]
+    rng = random.Random(2)
+    values = [rng.choice([1.0, 2.0, 2.5, 7.0, 9.0]) for _ in range(200)]
     df = spark.createDataFrame([(v,) for v in values], "v double")
     from pyspark.sql import functions as F
 
     want = pd.Series(values).value_counts().sort_index().cumsum().to_dict()
-    for points in ([], [0.0], [2.0], [1.0, 2.0, 2.5, 7.0], [100.0]):
-        totals = ranking.running_totals(df, "v", {"n": F.count(F.lit(1))}, points=points).collect()
-        assert {r["v"]: r["cum_n"] for r in totals} == want
-        assert {r["all_n"] for r in totals} == {200}
+    changed = {"spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in (*changed, "spark.sql.shuffle.partitions")}
+    try:
+        for partitions in (1, 2, 3, 11):
+            for key, value in (changed | {"spark.sql.shuffle.partitions": str(partitions)}).items():
+                spark.conf.set(key, value)
+            slices = ranking.ranged(df.distinct(), "v").select("_slice").distinct().count()
+            assert slices <= partitions and (slices > 1 or partitions < 3)
+            totals = ranking.running_totals(df, "v", {"n": F.count(F.lit(1))}).collect()
+            assert {r["v"]: r["cum_n"] for r in totals} == want
+            assert {r["all_n"] for r in totals} == {200}
+            grouped = df.unionAll(df).withColumn("g", F.when(F.col("v") < 3, "low"))
+            found = ranking.running_totals(grouped, "v", {"n": F.count(F.lit(1))}, group="g", descending=True).collect()
+            for r in found:
+                same = [v for v in values if (v < 3) == (r["g"] == "low")]
+                assert (r["cum_n"], r["all_n"]) == (2 * sum(v >= r["v"] for v in same), 2 * len(same))
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def test_thresholds_equal_brute_force(spark):
