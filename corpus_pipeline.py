@@ -5,8 +5,8 @@ rows are written as Parquet in the shared folder and read again. All stages but
 ``documents`` unchanged; the last adds ``size``, ``source_size``, ``target`` and ``taken``, and returns the documents that the
 mix takes words of.
 
-Defined results: an empty table passes through every stage; extra columns of the input stay; rows with null texts fail
-the quality rules.
+Defined results: an empty table passes through every stage; extra columns of the input stay, but for any named like one that the
+last stage adds, which it replaces; rows with null texts fail the quality rules.
 """
 
 from __future__ import annotations
