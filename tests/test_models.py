@@ -40,6 +40,20 @@ def test_cross_validation_finds_the_signal(planted):
     assert metrics.count() == 3
 
 
+def test_forest_keeps_nodes_between_levels_and_grows_the_same_trees(planted, model):
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.feature import VectorAssembler
+
+    from skyloom.ml.split import class_weights
+
+    fitted = model.stages[-1]
+    assert fitted.getCacheNodeIds() and fitted.getCheckpointInterval() == -1
+    walked = RandomForestClassifier(
+        labelCol="target", weightCol="weight", numTrees=5, maxDepth=4, minInstancesPerNode=K.FOREST_MIN_LEAF, seed=K.SEED).fit(
+        VectorAssembler(inputCols=COLS, outputCol="features").transform(class_weights(planted)))
+    assert walked.toDebugString.split("\n", 1)[1] == fitted.toDebugString.split("\n", 1)[1]
+
+
 def test_attributions_add_up_and_match_enumeration(planted, model, spark):
     sample = attribution.first_rows(planted, "date", n=6)
     long = attribution.attributions(model, sample, COLS, ["date"])
