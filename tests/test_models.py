@@ -110,6 +110,26 @@ def test_long_paths_match_enumeration():
             assert values[i] == pytest.approx(want, abs=1e-12)
 
 
+def test_values_looked_up_by_pattern_equal_the_integrals(monkeypatch):
+    """Blocks of many rows share the values of a leaf; cuts, infinite and missing values among the rows."""
+    rng = np.random.default_rng(8)
+    width, packed = 6, []
+    for n in (0, 1, 3, 6):
+        feature = np.stack([rng.permutation(width)[:n] for _ in range(9)]).reshape(9, n)
+        low, high = rng.choice([-np.inf, 0.2, 0.4], (9, n)), rng.choice([0.6, 0.8, np.inf], (9, n))
+        packed.append(attribution.Leaves(rng.random(9), feature, low, high, rng.uniform(0.01, 1.0, (9, n))))
+    x = rng.choice([0.1, 0.2, 0.3, 0.4, 0.6, 0.7, 0.8, np.nan, np.inf, -np.inf], (500, width))
+    assert len(x) >= attribution.SHARED << width
+    walked = []
+    direct = attribution._explain_leaves
+    monkeypatch.setattr(attribution, "_explain_leaves", lambda *a: walked.append(len(a[0])) or direct(*a))
+    got, base = attribution.explain(x, packed, 3)
+    assert not walked
+    parts = [attribution.explain(x[at:at + 1], packed, 3) for at in range(len(x))]
+    assert walked
+    assert np.allclose(got, np.concatenate([p[0] for p in parts]), rtol=0, atol=1e-12) and all(p[1] == base for p in parts)
+
+
 def test_metrics_and_model_round_trip(planted, model, spark):
     scored = forest.score(model, planted).withColumn("fold", F.lit(1))
     metrics = forest.metric_rows(scored)
