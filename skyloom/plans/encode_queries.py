@@ -16,7 +16,7 @@ from skyloom.operators import encode, history, labels, series
 from skyloom.plans import bridge as B
 from skyloom.plans import flows
 from skyloom.plans.registry import dec, query, r6, rounded
-from skyloom.session import work_path
+from skyloom.session import durable, work_path
 from skyloom.sources import payload, readings as R
 from skyloom.streaming import history as stream
 
@@ -201,12 +201,13 @@ def s1_flatten_json(spark, sf):
 
 
 _LANDINGS = 4
+_FILES = 1 << 30  # a batch takes a landing whole: its files are in no order of time
 
 
 def _land(spark, sf):
-    """Folders of landed JSON lines: weather documents, and an air document per coordinate pair and hour with readings.
+    """JSON lines that are to land: weather documents, and an air document per coordinate pair and hour with readings.
 
-    Both kinds land in several files in the order of time.
+    Both tables name the landing of each document, ``slice``; the landings are in the order of time.
     """
     weather, air = documents(spark, sf)
     seconds = B.obs(spark, sf).select("event_id", "site_id", F.unix_seconds(F.col("ts").cast("timestamp")).alias("dt"))
@@ -222,12 +223,8 @@ def _land(spark, sf):
         "dt", F.regexp_replace("air_doc", r"\}\]\}$", F.concat(F.lit(',"dt":'), F.col("dt").cast("string"), F.lit("}]}"))).alias("value"))
     span = seconds.agg(F.min("dt").alias("a"), F.max("dt").alias("b")).first()
     step = (span["b"] - span["a"]) // _LANDINGS + 1
-    folders = work_path(spark, "weather"), work_path(spark, "air")
-    for docs, folder in zip((weather, air), folders):
-        slices = F.floor((F.col("dt") - F.lit(span["a"])) / F.lit(step))
-        for k in range(_LANDINGS):
-            docs.where(F.greatest(slices, F.lit(0)) == k).select("value").coalesce(1).write.text(f"{folder}/slice={k}")
-    return folders
+    slices = F.greatest(F.floor((F.col("dt") - F.lit(span["a"])) / F.lit(step)), F.lit(0)).alias("slice")
+    return [durable(docs.select(slices, "value"), name) for docs, name in ((weather, "weather"), (air, "air"))]
 
 
 @query("t1_stream_json", f"""WITH flat AS ({_FLAT_SQL}),
@@ -239,11 +236,15 @@ SELECT flat.*, strftime(here, '%Y-%m-%d %H:%M') AS datetime, CAST(here AS DATE)
 FROM flat JOIN clock USING (event_id)""")
 def t1_stream_json(spark, sf):
     """Both kinds of landed documents as streams, joined on coordinates and time, into the history."""
-    weather, air = _land(spark, sf)
-    landed = stream.ingest_documents(
-        spark, f"{weather}/*", f"{air}/*", extra=(T.StructField("event_id", T.LongType()),), files_per_batch=1)
+    kinds = _land(spark, sf)
+    folders = work_path(spark, "weather"), work_path(spark, "air")
     store = stream.History(work_path(spark, "stream"), keys=("event_id",), seq=("nearest",))
-    stream.upsert_stream(landed.withColumn("nearest", -F.col("air_gap")), store).awaitTermination()
+    for k in range(_LANDINGS):  # each landing is as many files as its rows need, and the stream goes on with it
+        for docs, folder in zip(kinds, folders):
+            docs.where(F.col("slice") == k).select("value").write.text(f"{folder}/slice={k}")
+        landed = stream.ingest_documents(
+            spark, *[f"{f}/*" for f in folders], extra=(T.StructField("event_id", T.LongType()),), files_per_batch=_FILES)
+        stream.upsert_stream(landed.withColumn("nearest", -F.col("air_gap")), store).awaitTermination()
     return rounded(stream.readings(spark, store).select(*_DOC_COLUMNS, "datetime", "date", "hour"))
 
 

@@ -151,3 +151,23 @@ def test_closest_air_document_of_a_reading_stays(spark):
     stream.upsert_stream(landed, store).awaitTermination()
     (row,) = stream.readings(spark, store).collect()
     assert (row["city"], row["pm2_5"], row["air_gap"], row["visibility"], row["hour"]) == ("x", 3.0, 60, 10_000, 9)
+
+
+def test_documents_land_in_several_files_per_batch(spark, sf, monkeypatch):
+    """A landing is written by several tasks, its files in no order of time, and still no document is late."""
+    import glob
+
+    from skyloom.plans import encode_queries
+
+    places = []
+    monkeypatch.setattr(encode_queries, "work_path", lambda *a: places.append(work_path(*a)) or places[-1])
+    for key, value in (("spark.sql.files.maxPartitionBytes", "2k"), ("spark.sql.files.openCostInBytes", "1")):
+        spark.conf.set(key, value)
+    try:
+        got = {r["event_id"]: r["aqi"] for r in encode_queries.t1_stream_json(spark, sf).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == {r["event_id"]: r["user_id"] % 5 + 1 for r in B.table(spark, sf, "events").collect()}
+    landed = [glob.glob(f"{p}/slice={k}/part-*") for p in places if "weather-" in p for k in range(encode_queries._LANDINGS)]
+    assert len(landed) == encode_queries._LANDINGS and all(len(files) > 1 for files in landed)
