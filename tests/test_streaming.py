@@ -171,3 +171,22 @@ def test_documents_land_in_several_files_per_batch(spark, sf, monkeypatch):
     assert got == {r["event_id"]: r["user_id"] % 5 + 1 for r in B.table(spark, sf, "events").collect()}
     landed = [glob.glob(f"{p}/slice={k}/part-*") for p in places if "weather-" in p for k in range(encode_queries._LANDINGS)]
     assert len(landed) == encode_queries._LANDINGS and all(len(files) > 1 for files in landed)
+
+
+def test_archive_days_land_in_several_files_per_batch(spark, sf, monkeypatch):
+    """A turn of days is written by several tasks and still is one batch: the archive has every key once."""
+    import glob
+
+    from skyloom.ml import forest
+    from skyloom.plans import flows, model_queries
+
+    model = forest.fit_forest(flows.forest_features(B.readings(spark, sf)).cache(), model_queries.COLS, trees=2, depth=2)
+    places = []
+    monkeypatch.setattr(model_queries, "work_path", lambda *a: places.append(work_path(*a)) or places[-1])
+    monkeypatch.setattr(B, "table", lambda s, d, name: s.read.parquet(f"{d}/{name}.parquet").repartition(3))
+    current, store = model_queries._archived(spark, sf, model)
+    landed = [glob.glob(f"{p}/turn={k}/part-*") for p in places if "landed-" in p for k in range(model_queries._LAND)]
+    assert len(landed) == model_queries._LAND and all(len(files) == 3 for files in landed)
+    assert current.count() == B.obs(spark, sf).select("site_id", "date", "hour").distinct().count()
+    batches = spark.read.parquet(store.folder("raw")).select("batch_id").distinct().count()
+    assert batches == model_queries._LAND
