@@ -261,6 +261,32 @@ def test_epochs_without_validation_windows(spark):
     assert history_.count() == 2 and {r["split"] for r in held_out.select("split").distinct().collect()} == {"test"}
 
 
+def test_blocks_hold_every_window_and_deal_them_evenly(spark, monkeypatch):
+    """One partition has all windows; passes get them in even tasks and sum what one matrix gives."""
+    monkeypatch.setattr(epochs, "BLOCK_VALUES", 60)  # 20 windows of 3 numbers
+    rng = np.random.default_rng(5)
+    x, y = rng.normal(size=(1000, 3)), rng.integers(0, 2, 1000)
+    rows = [([float(v) for v in a], int(t), float(k % 3 + 1)) for k, (a, t) in enumerate(zip(x, y))]
+    windows_ = spark.createDataFrame(rows, "features array<double>, target int, w double").coalesce(1)
+    fed, files = epochs._blocks(windows_, F.col("w"), 3)
+    cores = spark.sparkContext.defaultParallelism
+    assert files == min(epochs.SHARES * cores, 50)
+    with epochs._evenly(spark, files):
+        sizes = [r["n"] for r in fed.groupBy(F.spark_partition_id()).agg(F.sum("rows").alias("n")).collect()]
+    assert sum(sizes) == 1000 and len(sizes) >= files // 2 and max(sizes) <= 80
+    network = epochs.Perceptron((3, 4, 1))
+    weights = network.start(2)
+    gradient, loss, n = epochs._summed(fed, files, network, weights, 0.8, 2.0)
+    whole, total = network.gradient(weights, x, y, np.arange(1000) % 3 + 1.0, 0.8, 2.0)
+    assert n == 1000 and np.allclose(gradient, whole / 1000) and abs(loss - total / 1000) < 1e-12
+    found = {r["epoch"]: r["auc_pr"] for r in epochs._precision(fed, files, network, [(1, weights), (2, weights * 0.5)]).collect()}
+    for epoch, then in ((1, weights), (2, weights * 0.5)):
+        p = network.forward(then, x)[-1][:, 0]  # equal scores count together
+        area = sum(y[p == v].sum() * y[p >= v].mean() for v in np.unique(p)) / y.sum()
+        assert abs(found[epoch] - area) < 1e-9
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000"
+
+
 def test_gradient_equals_differences():
     network = epochs.Perceptron((3, 4, 2, 1))
     rng = np.random.default_rng(0)
