@@ -6,7 +6,8 @@ rows are written as Parquet in the shared folder and read again. All stages but
 mix takes words of.
 
 Defined results: an empty table passes through every stage; extra columns of the input stay, but for any named like one that the
-last stage adds, which it replaces; rows with null texts fail the quality rules.
+last stage adds, which it replaces; rows with null texts fail the quality rules. Stages that run Python leave the session with
+batches of at most ``BATCH_BYTES``, or one row if that is larger.
 """
 
 from __future__ import annotations
@@ -17,25 +18,36 @@ from pyspark.sql import functions as F
 from skyloom.llm import decontamination, language_id, mixing, quality_rules, similarity_join
 from skyloom.session import durable
 
+BATCH_BYTES = 1 << 21  # of texts that a task and its Python worker each hold in flight
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of the session, which has to stay so until a stage's rows have been read."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass every rule of the production policy."""
+    small_batches(spark)
     return quality_rules.keep_documents(docs)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known; profiles are learned from the labelled rows outside the held-out fold."""
+    small_batches(spark)
     profiles = durable(language_id.learn_profiles(language_id.training_rows(docs)), "profiles")
     return language_id.keep_identified(docs, profiles)
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates (five-word shingles, Jaccard similarity 0.8 or more)."""
+    small_batches(spark)
     return similarity_join.keep_one_of_each(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
+    small_batches(spark)
     return decontamination.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 

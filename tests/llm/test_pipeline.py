@@ -3,7 +3,9 @@
 from collections import Counter
 
 import duckdb
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from skyloom.llm import decontamination, quality_rules
@@ -63,3 +65,22 @@ def test_pipeline_of_an_empty_table(spark, sf):
     for _, stage in corpus_pipeline.STAGES:
         docs = durable(stage(spark, docs, sf), "stage")
     assert docs.count() == 0
+
+
+def test_stages_bound_the_bytes_of_a_batch(spark):
+    """2,000 texts of 10 KB in one partition went to Python as one batch of 20 MB."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    texts = spark.range(0, 2000, 1, 1).select(F.repeat(F.lit("x"), 10_000).alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pd.DataFrame({"n": [int(batch["text"].str.len().sum())]})
+
+    try:
+        docs = spark.createDataFrame([(1, "a b", "s", "en")], "doc_id long, text string, source string, lang string")
+        corpus_pipeline.quality(spark, docs, "")
+        found = [r["n"] for r in texts.mapInPandas(sizes, "n long").collect()]
+    finally:
+        spark.conf.set(key, before)
+    assert sum(found) == 20_000_000 and max(found) <= corpus_pipeline.BATCH_BYTES + 10_000
