@@ -6,10 +6,12 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import MultilayerPerceptronClassifier
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from skyloom import constants as K
-from skyloom.ml import attribution, epochs, forest, scoring, sequence_model
+from skyloom.ml import attribution, epochs, forest, perceptron, scoring, sequence_model
 from skyloom.operators import evaluate, features
 from skyloom.plans import flows, model_queries
 from skyloom.session import work_path
@@ -165,6 +167,46 @@ def test_sequence_model(spark, kind):
     assert sequence_model.score_sequence(loaded, table.filter("date < '2020-01-03'")).count() == 0
 
 
+def test_perceptron_takes_the_steps_of_mllib(spark, monkeypatch):
+    """Passes over blocks give the weights of MLlib's fit, whose last block of a partition is smaller; MLlib itself takes no step."""
+    rows = [([math.sin(i * k) for k in range(1, 7)], float((i * 7) % 10 < 3 + (i % 3))) for i in range(700)]
+    data = spark.createDataFrame(rows, "x array<double>, target double").repartition(3).select(
+        array_to_vector("x").alias("features"), "target").cache()
+    layers, settings = [6, 5, 3, 2], {"featuresCol": "features", "labelCol": "target", "seed": 9}
+    want = {n: MultilayerPerceptronClassifier(layers=layers, maxIter=n, **settings).fit(data) for n in (1, 6, 12)}
+    untouched = MultilayerPerceptronClassifier(layers=layers, maxIter=5, **settings).fit(data.where("false"))
+    asked, fit = [], MultilayerPerceptronClassifier.fit
+    monkeypatch.setattr(MultilayerPerceptronClassifier, "fit", lambda self, df: asked.append(self.getMaxIter()) or fit(self, df))
+    for n, other in want.items():
+        model = perceptron.fit_perceptron(data, layers, n, 9)
+        assert np.allclose(model.weights.toArray(), other.weights.toArray(), rtol=1e-6, atol=1e-9)
+        assert model.getMaxIter() == n and not model.isDefined(model.initialWeights)
+    assert set(asked) == {0}
+    for some in (data.limit(1), data, data.coalesce(1), data.unionAll(data).coalesce(1)):
+        rows, n = [len(y) // 8 for _, y in perceptron.packed(some, 6).collect()], some.count()
+        assert sum(rows) == n and max(rows) <= perceptron.BLOCK and sum(r % perceptron.STACK > 0 for r in rows) <= some.rdd.getNumPartitions()
+    none = perceptron.fit_perceptron(data.where("false"), layers, 5, 9)
+    assert np.array_equal(none.weights.toArray(), untouched.weights.toArray())
+
+
+def test_line_search_and_steps_without_spark():
+    """A valley with a bend: the search brackets, zooms and forgets; no number makes it go back; a hill ends the run."""
+    def valley(x):
+        a, b = x
+        return (1 - a) ** 2 + 100 * (b - a * a) ** 2, np.array([-2 * (1 - a) - 400 * a * (b - a * a), 200 * (b - a * a)])
+
+    assert np.allclose(perceptron.minimise(valley, np.array([-1.2, 1.0]), 200, 1e-12), [1, 1], atol=1e-4)
+    seen = []
+
+    def walled(x):
+        seen.append(x[0])
+        return (math.nan if abs(x[0]) > 3 else (x[0] - 2.5) ** 2), np.array([2 * (x[0] - 2.5)])
+
+    assert perceptron.minimise(walled, np.array([-2.9]), 50, 1e-12)[0] == pytest.approx(2.5)
+    start = np.array([0.5, 0.5])
+    assert np.array_equal(perceptron.minimise(lambda x: (math.nan, x * math.nan), start, 5, 1e-6), start)
+
+
 def _features(spark, sites):
     return spark.createDataFrame([(s,) for s in sites], "site_id int").select(
         "site_id", F.lit(dt.date(2024, 1, 1)).alias("date"), *[F.lit(1.0).alias(c) for c in K.FOREST_FEATURES])
