@@ -520,6 +520,48 @@ def test_scores_do_not_depend_on_the_core(docs):
         assert b[key]["score"] == pytest.approx(r["score"], rel=1e-9)
 
 
+def test_rare_grams_are_not_sent(spark):
+    """Slots that tasks count hold every n-gram seen often enough and keep the others out of the counts that are sent."""
+    often = [f"a{k} b{k} c{k}" for k in range(50)]
+    texts = [*often, *often, *often, *[f"a{k} c{k} b{k} a{k}" for k in range(50)], *often[:7], None, "", "a1"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(5)
+    every = np.full(language_model.SLOTS, ~np.uint64(0))
+    for order in (2, 3):
+        want = Counter()
+        for words in map(language_model.tokens, texts):
+            want.update([" ".join(words[k:k + order]) for k in range(len(words) - order + 1)])
+        assert min(want.values()) < language_model.LEAST
+        slots = language_model.frequent_slots(docs, order, every)
+        got = {r["gram"]: r["n"] for r in language_model.gram_counts(docs, order, every, slots).collect()}
+        assert got == {gram: n for gram, n in want.items() if n >= language_model.LEAST}
+
+
+def test_slots_add_up():
+    """Planes count to LEAST, however the hashes are dealt."""
+    rng = np.random.default_rng(3)
+    hashes = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
+    seen = np.concatenate([hashes, hashes[:200], hashes[:100], hashes[:50]])
+    whole, sums = np.zeros((2, language_model.LEAST, language_model.SLOTS), dtype=np.uint64)
+    language_model._add_hashes(whole, seen)
+    for part in np.array_split(rng.permutation(seen), 4):
+        one = np.zeros_like(sums)
+        language_model._add_hashes(one, part)
+        sums = language_model._summed(sums, one)
+    assert np.array_equal(whole, sums)
+    assert [int(language_model.in_bits(plane, hashes).sum()) for plane in whole] == [300, 200, 100]
+
+
+def test_core_is_filled(docs):
+    """The core takes as many n-grams as its bound allows, by one count for all orders."""
+    _, _, _, grams = language_model.fit(docs, share=1e-3)
+    core = grams[0].core
+
+    def reach(n):
+        return max(found.table.where(f"n >= {n}").count() for found in grams)
+
+    assert core > language_model.LEAST and reach(core) <= 1000 < reach(core - 1)
+
+
 # ------------------------------------------------------------------ mixing
 def water(sizes, order):
     """Targets by definition: clamp and share again until nothing is above its limit."""
